@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import toxicity
+from corpusloom.llm import quality, toxicity
 from corpusloom.llm.learning import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,3 +34,10 @@ def op5_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     weights = toxicity.train(docs, labels, where=lambda i: remainder(i, 3) != 1)
     return judged(toxicity.score(docs, weights), remainder(F.col("doc_id"), 3) == 1, 0.7)
+
+
+@query
+def op1_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    machine = quality.train(docs, labels, where=lambda i: remainder(i, 5) != 0)
+    return judged(quality.score(docs, machine), remainder(F.col("doc_id"), 5) == 0, 0.3)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.llm.bytetext import ALNUM, Slice, mix, slices, unique_pairs, words
-from corpusloom.llm.learning import class_counts, labelled_sample, map_batches, shipped, sigmoid
+from corpusloom.llm.learning import class_counts, labelled_sample, map_batches, platt, shipped, sigmoid
 
 
 @dataclass(frozen=True)
@@ -90,18 +90,6 @@ def fit(features: list[np.ndarray], y: np.ndarray, cfg: Settings, base_rate: flo
     return Weights(out.bits, out.intercept * slope + offset, out.index, (out.value * slope).astype(np.float32))
 
 
-def platt(margin: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 60) -> tuple[float, float]:
-    """Slope (0.2 to 5) and offset of the log odds by damped Newton steps on smoothed labels."""
-    y = np.where(y == 1, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
-    x, theta = np.stack([np.clip(margin, -12, 12), np.ones_like(margin)]), np.array([1.0, 0.0])
-    for _ in range(steps):
-        p = sigmoid(theta @ x)
-        gradient = x @ (weight * (p - y)) + 1e-3 * (theta - [1, 0])
-        hessian = (x * (weight * p * (1 - p))) @ x.T + 1e-3 * np.eye(2)
-        theta = theta - np.clip(np.linalg.solve(hessian, gradient), -1, 1)
-    return float(np.clip(theta[0], 0.2, 5)), float(theta[1])
-
-
 def _ftrl(features: list[np.ndarray], y: np.ndarray, cfg: Settings, base_rate: float) -> Weights:
     """FTRL-proximal over the rows in a seeded order; the intercept is moved to ``base_rate``."""
     size = 1 << cfg.bits
