@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import quality, toxicity
+from corpusloom.llm import langid, quality, toxicity
 from corpusloom.llm.learning import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,3 +41,10 @@ def op1_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     machine = quality.train(docs, labels, where=lambda i: remainder(i, 5) != 0)
     return judged(quality.score(docs, machine), remainder(F.col("doc_id"), 5) == 0, 0.3)
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs, where=lambda i: remainder(i, 4) != 2)
+    return langid.predict(docs, model).select("doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
