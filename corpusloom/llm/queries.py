@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import langid, quality, toxicity
+from corpusloom.llm import decontam, langid, quality, toxicity
 from corpusloom.llm.learning import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,3 +48,9 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs, where=lambda i: remainder(i, 4) != 2)
     return langid.predict(docs, model).select("doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontam.digest(found, "doc_id")
