@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontam, langid, quality, toxicity
+from corpusloom.llm import decontam, hostrules, langid, mixing, quality, toxicity
 from corpusloom.llm.learning import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,3 +54,14 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontam.digest(found, "doc_id")
+
+
+@query
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", F.transform("draws", lambda d: d["shard"]).alias("shards"))
+
+
+@query
+def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hostrules.judge(hostrules.measured(table(spark, sf_dir, "documents")), hostrules.base_failed())
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
