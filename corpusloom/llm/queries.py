@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontam, hostrules, langid, mixing, quality, toxicity
+from corpusloom.llm import decontam, hostrules, jaccard, langid, mixing, quality, toxicity
 from corpusloom.llm.learning import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +65,8 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = hostrules.judge(hostrules.measured(table(spark, sf_dir, "documents")), hostrules.base_failed())
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")

@@ -27,3 +27,45 @@ def decontaminated(docs: list[tuple], items: list[tuple], k: int = 10) -> list[t
                     names.add(name)
         out.append((doc_id, len(w), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), bool(names)))
     return out
+
+
+def measured(text: str | None) -> tuple:
+    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed)."""
+    text = text or ""
+    w = SPACE_WORD.findall(text)
+    lines, dup = set(), 0
+    for x in text.split("\n"):
+        if SPACE_WORD.search(x):
+            dup += x in lines
+            lines.add(x)
+    at: dict[tuple, list[int]] = {}
+    for i in range(len(w) - 7):
+        at.setdefault(tuple(w[i : i + 8]), []).append(i)
+    hit = {j for p in at.values() if len(p) > 1 for i in p for j in range(i, i + 8)}
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), dup, len(hit), len(w) < 20 or 100 * len(hit) > 30 * len(w)
+
+
+def jaccard_classes(docs: list[tuple], k: int = 5, percent: int = 80) -> list[tuple]:
+    """(doc_id, n_shingles, component_id) of each row, from all pairs."""
+    sets = []
+    for _, text in docs:
+        w = SPACE_WORD.findall((text or "").translate(LOWER))
+        sets.append({tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set())
+    parent = list(range(len(docs)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(docs)):
+        for j in range(i):
+            a, b = sets[i], sets[j]
+            if a and b and 100 * min(len(a), len(b)) >= percent * max(len(a), len(b)) and 100 * (n := len(a & b)) >= percent * (len(a) + len(b) - n):
+                x, y = root(i), root(j)
+                parent[max(x, y)] = min(x, y)
+    least: dict[int, int] = {}
+    for i, (doc_id, _) in enumerate(docs):
+        r = root(i)
+        least[r] = min(least.get(r, doc_id), doc_id)
+    return [(docs[i][0], len(sets[i]), least[root(i)]) for i in range(len(docs))]
