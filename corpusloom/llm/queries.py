@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontam, hostrules, jaccard, langid, mixing, quality, toxicity
+from corpusloom.llm import decontam, hostrules, jaccard, langid, mixing, pii, quality, toxicity
 from corpusloom.llm.learning import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,3 +70,10 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pii.replace(table(spark, sf_dir, "documents"))
+    rows = rows.withColumn("kinds", F.transform(pii.entities(), lambda e: e["kind"]))
+    return rows.select("doc_id", "text", F.size("kinds").alias("n_entities"), F.array_sort(F.array_distinct("kinds")).alias("kinds"))
