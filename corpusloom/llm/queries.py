@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontam, hostrules, jaccard, langid, mixing, pii, quality, toxicity
+from corpusloom.llm import decontam, hostrules, jaccard, langid, mixing, pii, quality, toxicity, urlfilter, warc
 from corpusloom.llm.learning import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,3 +77,70 @@ def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pii.replace(table(spark, sf_dir, "documents"))
     rows = rows.withColumn("kinds", F.transform(pii.entities(), lambda e: e["kind"]))
     return rows.select("doc_id", "text", F.size("kinds").alias("n_entities"), F.array_sort(F.array_distinct("kinds")).alias("kinds"))
+
+
+@query
+def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = warc.archive(table(spark, sf_dir, "pages"))
+    return warc.read(spark, at).select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _hex(i: int):
+    """The i-th hexadecimal digit of the md5 of the value, as a number."""
+    return F.instr(F.lit("0123456789abcdef"), F.substring(F.md5(F.col("value").cast("binary")), i, 1)) - 1
+
+
+def list_entries(pages: DataFrame) -> DataFrame:
+    """The dated lists of the query: no table has any, so hosts, domains and paths of the pages get entries by their md5.
+
+    A value is listed if its first digit is below 8, from day 16 d2 + d3 on; if d4 < 12 it is
+    removed 10 (d5 + 1) days later, and if also d6 < 6 listed again 30 days after that.
+    """
+    hosts = pages.select(urlfilter.host(F.col("url")).alias("value")).where("value <> ''").distinct()
+    domains = hosts.select(F.regexp_extract("value", r"([^.]+\.[^.]+)$", 1).alias("value")).where("value <> ''").distinct()
+    paths = hosts.select(F.concat("value", F.lit("/en/")).alias("value"))
+    named = [x.select(F.lit(n).alias("list"), F.lit(k).alias("kind"), "value") for n, k, x in (("spam", "host", hosts), ("adult", "domain", domains), ("mirror", "prefix", paths))]
+    rows = named[0].unionByName(named[1]).unionByName(named[2]).where(_hex(1) < 8)
+    on = (_hex(2) * 16 + _hex(3)) * 1440
+    off = on + (_hex(5) + 1) * 14400
+    back = off + 43200
+    event = lambda a, at, when: F.when(when, F.struct(F.lit(a).alias("action"), at.cast("long").alias("at")))
+    events = F.array(event("add", on, F.lit(True)), event("remove", off, _hex(4) < 12), event("add", back, (_hex(4) < 12) & (_hex(6) < 6)))
+    return rows.select("list", "kind", "value", F.explode(events).alias("e")).where("e is not null").select("list", "kind", "value", "e.*")
+
+
+@query
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page judged at its fetch time, in minutes of 2024 made from its id."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", F.pmod(F.col("page_id") * 7919, F.lit(525_600)).alias("fetched_at"))
+    out = urlfilter.evaluate(pages, list_entries(pages))
+    return out.select("page_id", "fetched_at", F.array_join("lists", ",").alias("lists"), "blocked")
+
+
+ORACLE_SQL["op9_url_filters"] = r"""
+with p as (
+  select page_id, (page_id * 7919) % 525600 as fetched_at,
+         lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) as host,
+         lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1)) as path
+  from pages
+), hosts as (select distinct host as value from p where host <> ''),
+v as (
+  select 'spam' as list, 'host' as kind, value from hosts
+  union all select distinct 'adult', 'domain', regexp_extract(value, '([^.]+\.[^.]+)$', 1) from hosts where regexp_extract(value, '([^.]+\.[^.]+)$', 1) <> ''
+  union all select 'mirror', 'prefix', value || '/en/' from hosts
+), d as (
+  select *, instr('0123456789abcdef', substr(md5(value), 1, 1)) - 1 as d1, instr('0123456789abcdef', substr(md5(value), 2, 1)) - 1 as d2,
+         instr('0123456789abcdef', substr(md5(value), 3, 1)) - 1 as d3, instr('0123456789abcdef', substr(md5(value), 4, 1)) - 1 as d4,
+         instr('0123456789abcdef', substr(md5(value), 5, 1)) - 1 as d5, instr('0123456789abcdef', substr(md5(value), 6, 1)) - 1 as d6
+  from v
+), t as (select *, (d2 * 16 + d3) * 1440 as a, (d2 * 16 + d3) * 1440 + (d5 + 1) * 14400 as b from d where d1 < 8),
+i as (
+  select list, kind, value, a as lo, case when d4 < 12 then b end as hi from t
+  union all select list, kind, value, b + 43200, null from t where d4 < 12 and d6 < 6
+), m as (
+  select distinct p.page_id, i.list from p join i on p.fetched_at >= i.lo and (i.hi is null or p.fetched_at < i.hi)
+   and ((kind = 'host' and p.host = value) or (kind = 'domain' and (p.host = value or ends_with(p.host, '.' || value))) or (kind = 'prefix' and starts_with(p.host || p.path, value)))
+)
+select p.page_id, p.fetched_at, coalesce(string_agg(m.list, ',' order by m.list), '') as lists, count(m.list) > 0 as blocked
+from p left join m on p.page_id = m.page_id group by p.page_id, p.fetched_at
+"""
