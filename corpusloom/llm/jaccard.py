@@ -48,7 +48,7 @@ from corpusloom.llm.tables import cut
 #: A shingle in one of so many documents is hot.
 HOT = 500
 #: Shingles that an owner holds at once, about.
-OWNED = 600_000
+OWNED = 2_400_000
 #: Postings up to which the short lists go through a heap.
 HEAP = 4096
 
@@ -121,44 +121,76 @@ def _digest_pass(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, f"id {kind}, n long, fp long, hot boolean")
 
 
-def _pack(key: np.ndarray, fp: np.ndarray, n: np.ndarray, token: np.ndarray, df: np.ndarray | None) -> pa.RecordBatch:
-    """Rows by key of entries sorted by (key, fp): set hashes, sizes, entries of each set, shingles, list lengths."""
-    df = np.zeros(len(key), np.uint32) if df is None else df.astype(np.uint32)
-    at = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
-    end, cols = np.append(at[1:], len(key)), [[], [], [], [], []]
-    for a, b in zip(at.tolist(), end.tolist(), strict=True):
-        f = fp[a:b]
-        one = np.flatnonzero(np.concatenate(([True], f[1:] != f[:-1])))
-        for c, x in zip(cols, (f[one], n[a:b][one].astype(np.uint32), np.diff(np.append(one, b - a)).astype(np.uint32), token[a:b], df[a:b] if df.any() else df[:0]), strict=True):
-            c.append(x.tobytes())
-    return pa.RecordBatch.from_arrays([pa.array(key[at].astype(np.int32)), *(pa.array(c, pa.binary()) for c in cols)], ["key", "fp", "n", "count", "token", "df"])
+_PACKED = "key int, owner int, fp binary, count binary, token binary, df binary"
+_COLUMNS = ("key", "owner", "fp", "count", "token", "df")
+#: Owners of entries that come straight from the documents: hot shingles, and sizes of classes.
+IS_HOT, IS_SIZE = -2, -1
+#: Set hashes and shingles travel as six bytes; an owner or a home has few enough for that.
+SIX = np.uint64((1 << 48) - 1)
 
 
-_PACKED = "key int, fp binary, n binary, count binary, token binary, df binary"
+def _six(x: np.ndarray) -> bytes:
+    return np.ascontiguousarray(x, np.uint64).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """Unpacked (fp, n, token, df) of each key of batches sorted by key."""
-    held, last = [], None
+def _from_six(parts: list[bytes]) -> np.ndarray:
+    raw = np.frombuffer(b"".join(parts), np.uint8).reshape(-1, 6)
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, :6] = raw
+    return out.view(np.uint64).ravel()
+
+
+def _pack(key: np.ndarray, owner: np.ndarray | int, fp: np.ndarray, token: np.ndarray, df: np.ndarray | None = None) -> pa.RecordBatch:
+    """Entries sorted by (key, owner, fp) as a row for each key and owner: set hashes, their numbers of entries (255 at most, else again), shingles, list lengths."""
+    owner = np.broadcast_to(np.asarray(owner), key.shape)
+    turn = np.ones(len(key), bool)
+    turn[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
+    at = np.flatnonzero(turn)
+    cols: list[list[bytes]] = [[], [], [], []]
+    for a, b in zip(at.tolist(), np.append(at[1:], len(key)).tolist(), strict=True):
+        f = fp[a:b]
+        run = np.flatnonzero(np.concatenate(([True], f[1:] != f[:-1])))
+        size = np.diff(np.append(run, b - a))
+        if size.max() > 255:
+            run = np.concatenate([np.arange(r, r + m, 255) for r, m in zip(run, size, strict=True)])
+            size = np.diff(np.append(run, b - a))
+        for c, x in zip(cols, (_six(f[run]), size.astype(np.uint8).tobytes(), _six(token[a:b]), b"" if df is None else df[a:b].astype(np.uint8).tobytes()), strict=True):
+            c.append(x)
+    return pa.RecordBatch.from_arrays([pa.array(key[at].astype(np.int32)), pa.array(owner[at].astype(np.int32)), *(pa.array(c, pa.binary()) for c in cols)], list(_COLUMNS))
+
+
+def _sizes(key: np.ndarray, fp: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """A row for each key with full set hashes and sizes; sorted by key."""
+    at = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+    spans = list(zip(at.tolist(), np.append(at[1:], len(key)).tolist(), strict=True))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(key[at].astype(np.int32)), pa.array(np.full(len(at), IS_SIZE, np.int32)), pa.array([fp[a:b].tobytes() for a, b in spans], pa.binary()), pa.array([n[a:b].astype(np.uint32).tobytes() for a, b in spans], pa.binary()), *(pa.array([b""] * len(at), pa.binary()) for _ in range(2))],
+        list(_COLUMNS),
+    )
 
-    def entries():
-        fp, n, count, token, df = (np.concatenate([np.frombuffer(r[j], t) for r in held]) for j, t in ((0, np.int64), (1, np.uint32), (2, np.uint32), (3, np.uint64), (4, np.uint32)))
-        count = count.astype(np.int64)
-        return [np.repeat(fp, count), np.repeat(n, count).astype(np.int64), token, df]
 
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows (owner, fp, count, token, df) of each key of batches sorted by key."""
+    held, last = [], None
     for b in batches:
-        for key, *row in zip(*(b.column(c).to_pylist() for c in ("key", "fp", "n", "count", "token", "df")), strict=True):
+        for key, *row in zip(*(b.column(c).to_pylist() for c in _COLUMNS), strict=True):
             if key != last and held:
-                yield entries()
+                yield held
                 held = []
             last = key
             held.append(row)
     if held:
-        yield entries()
+        yield held
+
+
+def _entries(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """(six-byte set hash, six-byte shingle) of the entries of packed rows."""
+    fp = np.repeat(_from_six([r[1] for r in rows]), np.frombuffer(b"".join(r[2] for r in rows), np.uint8))
+    return fp, _from_six([r[3] for r in rows])
 
 
 def _deal(docs: DataFrame, k: int, owners: int, homes: int, hot: np.ndarray) -> DataFrame:
-    """Shingles by owner (keys from 0), and hot ones straight home (keys from ``owners``), once for each set of a batch."""
+    """Shingles by owner (keys from 0); sizes and hot shingles straight home (keys from ``owners``); once for each set of a slice."""
     held = shipped(docs.sparkSession, hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,68 +203,114 @@ def _deal(docs: DataFrame, k: int, owners: int, homes: int, hot: np.ndarray) ->
                 new[first] = True
                 new &= ~np.isin(fp, seen) & (n > 0)
                 seen = np.concatenate([seen, fp[new]])
+                if not new.any():
+                    continue
+                short = fp.view(np.uint64) & SIX
+                home = owners + (short % np.uint64(homes)).astype(np.int64)
+                mine = np.flatnonzero(new)
+                mine = mine[np.argsort(home[mine], kind="stable")]
+                yield _sizes(home[mine], fp[mine], n[mine])
                 ok = new[doc]
                 doc, h = doc[ok], h[ok]
-                key = ((h >> np.uint64(32)) % np.uint64(owners)).astype(np.int64)
-                is_hot = np.zeros(len(h), bool)
                 if len(held.value):
                     at = np.minimum(np.searchsorted(held.value, h), len(held.value) - 1)
                     is_hot = held.value[at] == h
-                    key[is_hot] = owners + fp[doc[is_hot]] % homes
-                order = np.argsort(key.astype(np.int64) * len(n) + doc, kind="stable")
-                key, doc = key[order], doc[order]
-                yield _pack(key, fp[doc], n[doc], h[order], None)
+                    d = doc[is_hot]
+                    order = np.lexsort((d, home[d]))
+                    if len(order):
+                        yield _pack(home[d][order], IS_HOT, short[d][order], at[is_hot][order].astype(np.uint64))
+                    doc, h = doc[~is_hot], h[~is_hot]
+                key = ((h >> np.uint64(32)) * np.uint64(owners) >> np.uint64(32)).astype(np.int64)
+                order = np.argsort(key * len(n) + doc, kind="stable")
+                key, doc, h = key[order], doc[order], h[order]
+                if len(key):
+                    yield _pack(key, 0, short[doc], h & SIX)
 
     return docs.mapInArrow(run, _PACKED)
 
 
-def _own(homes: int):
+def _answers(rows: list[tuple], owner: int, owners: int, homes: int) -> Iterator[pa.RecordBatch]:
+    """What an owner tells the homes: the entries of its lists with two classes or more, and how long the lists are."""
+    fp, token = _entries(rows)
+    order = np.argsort(token, kind="stable")
+    t = token[order]
+    same = np.zeros(len(t) + 1, bool)
+    same[1:-1] = t[1:] == t[:-1]
+    order = order[same[1:] | same[:-1]]
+    order = order[np.lexsort((fp[order], token[order]))]
+    t, f = token[order], fp[order]
+    if not len(t):
+        return
+    one = np.concatenate(([True], (t[1:] != t[:-1]) | (f[1:] != f[:-1])))  # a class may come from several slices
+    t, f = t[one], f[one]
+    first = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1])))
+    length = np.diff(np.append(first, len(t)))
+    df = np.repeat(length, length)
+    t, f, df = t[df > 1], f[df > 1], df[df > 1]
+    if len(t):
+        key = owners + (f % np.uint64(homes)).astype(np.int64)
+        by = np.lexsort((f, key))
+        yield _pack(key[by], owner, f[by], t[by], np.minimum(df[by], 255))
+
+
+def _owned(dealt: DataFrame, owners: int, homes: int) -> DataFrame:
+    """Owners' answers; what goes straight home passes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for fp, n, token, _ in _groups(batches):
-            order = np.argsort(token, kind="stable")
-            t = token[order]
-            same = np.zeros(len(t) + 1, bool)
-            same[1:-1] = t[1:] == t[:-1]
-            order = order[same[1:] | same[:-1]]  # of lists with two entries or more
-            order = order[np.lexsort((fp[order], token[order]))]
-            t, f = token[order], fp[order]
-            if len(t):
-                one = np.concatenate(([True], (t[1:] != t[:-1]) | (f[1:] != f[:-1])))  # a set may come from several batches
-                order, t = order[one], t[one]
-                first = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1])))
-                length = np.diff(np.append(first, len(t)))
-                df = np.repeat(length, length)
-                order, df = order[df > 1], df[df > 1]
-                key = fp[order] % homes
-                by = np.lexsort((fp[order], key))
-                order, df, key = order[by], df[by], key[by]
-                yield _pack(key, fp[order], n[order], token[order], df)
+        held, last = [], None
+        for b in batches:
+            key = b.column("key").to_numpy()
+            m = int(np.searchsorted(key, owners))  # sorted by key: what passes comes last
+            for k, *row in zip(*(b.column(c).slice(0, m).to_pylist() for c in _COLUMNS), strict=True):
+                if k != last and held:
+                    yield from _answers(held, last, owners, homes)
+                    held = []
+                last = k
+                held.append(row)
+            if m < len(key):
+                yield b.slice(m)
+        if held:
+            yield from _answers(held, last, owners, homes)
 
-    return run
+    return dealt.mapInArrow(run, _PACKED)
 
 
 def _home(held_counts, percent: int):
     """Classes whose shared shingles suffice, rarest shingles first; p of them are in the prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot_token, hot_rank = held_counts.value
-        for fp, n, token, df in _groups(batches):
-            order = np.lexsort((token, fp))
-            fp, n, token, df = fp[order], n[order], token[order], df[order].astype(np.int64)
+        for rows in _groups(batches):
+            known = [r for r in rows if r[0] == IS_SIZE]
+            full, at = np.unique(np.concatenate([np.frombuffer(r[1], np.int64) for r in known]), return_index=True)
+            n = np.concatenate([np.frombuffer(r[2], np.uint32) for r in known])[at].astype(np.int64)
+            by = np.argsort(full.view(np.uint64) & SIX, kind="stable")
+            full, n = full[by], n[by]
+            parts = []
+            for owner in sorted({r[0] for r in rows} - {IS_SIZE}):
+                mine = [r for r in rows if r[0] == owner]
+                fp, token = _entries(mine)
+                if owner == IS_HOT:
+                    rank = held_counts.value[token.astype(np.int64)]
+                    owner = 0xFFFF
+                else:
+                    rank = np.frombuffer(b"".join(r[4] for r in mine), np.uint8).astype(np.int64)
+                parts.append((fp, token | (np.uint64(owner & 0xFFFF) << np.uint64(48)), rank))
+            if not parts:
+                continue
+            fp, token, rank = (np.concatenate([p[j] for p in parts]) for j in range(3))
+            order = np.lexsort((token, rank, fp))
+            fp, token = fp[order], token[order]
             one = np.concatenate(([True], (fp[1:] != fp[:-1]) | (token[1:] != token[:-1])))
-            fp, n, token, df = fp[one], n[one], token[one], df[one]
-            if len(hot_token):
-                at = np.minimum(np.searchsorted(hot_token, token), len(hot_token) - 1)
-                df = np.where(hot_token[at] == token, hot_rank[at], df)
-            order = np.lexsort((token, df, fp))
-            fp, n, token = fp[order], n[order], token[order]
+            fp, token = fp[one], token[one]
             first = np.flatnonzero(np.concatenate(([True], fp[1:] != fp[:-1])))
             end = np.append(first[1:], len(fp))
-            size, shared = n[first], end - first
+            who = np.searchsorted(full.view(np.uint64) & SIX, fp[first])
+            size, shared = n[who], end - first
             ok = shared >= _needed(size, percent)
-            p = np.minimum(shared, shared - _needed(size, percent) + 1)[ok]
-            lists = pa.ListArray.from_arrays(np.append(0, np.cumsum(shared[ok])).astype(np.int32), pa.array(np.concatenate([token[a:b] for a, b in zip(first[ok], end[ok], strict=True)] or [token[:0]]).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(fp[first[ok]]), pa.array(size[ok]), pa.array(p.astype(np.int32)), lists], ["fp", "n", "p", "tokens"])
+            p = np.maximum(0, shared - _needed(size, percent) + 1)[ok]
+            kept = np.repeat(ok, shared)
+            lists = pa.ListArray.from_arrays(np.append(0, np.cumsum(shared[ok])).astype(np.int32), pa.array(token[kept].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(full[who[ok]]), pa.array(size[ok]), pa.array(p.astype(np.int32)), lists], ["fp", "n", "p", "tokens"])
 
     return run
 
@@ -368,15 +446,15 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int
     size = rows.agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("n")).first()
     hot = sorted((r["t"] & (2**64 - 1), r["c"]) for r in first.where("hot").groupBy(F.col("fp").alias("t")).agg(F.sum("n").alias("c")).where(F.col("c") >= max(50, size["docs"] // HOT)).collect())
     hot_token = np.array([t for t, _ in hot], np.uint64)
-    hot_rank = np.array([(1 << 40) + c for _, c in hot], np.int64)
+    hot_rank = np.array([256 + c for _, c in hot], np.int64)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     owners = max(parts, -(-int(size["n"] or 0) // OWNED))
     homes = owners
-    held = shipped(spark, (hot_token, hot_rank))
+    held = shipped(spark, hot_rank)
 
-    dealt = _deal(body.select("_text"), k, owners, homes, hot_token).repartition(max(parts, owners // 4), "key").sortWithinPartitions("key")
-    answered = _owned_and_hot(dealt, owners, homes)
-    survivors = cut(answered.repartition(max(parts, homes // 4), "key").sortWithinPartitions("key").mapInArrow(_home(held, percent), "fp long, n long, p int, tokens array<bigint>"))
+    dealt = _deal(body.select("_text"), k, owners, homes, hot_token).repartition(max(parts, owners), "key").sortWithinPartitions("key")
+    answered = _owned(dealt, owners, homes)
+    survivors = cut(answered.repartition(max(parts, homes), "key").sortWithinPartitions("key").mapInArrow(_home(held, percent), "fp long, n long, p int, tokens array<bigint>"))
 
     prefix = survivors.select("fp", "n", F.explode(F.slice("tokens", F.lit(1), F.col("p"))).alias("token"))
     order = W.partitionBy("token").orderBy("n", "fp")
@@ -400,30 +478,3 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int
     named = roots.select("fp", "root").join(least, "root").select("fp", "component_id")
     out = rows.join(named.withColumnRenamed("fp", "_fp"), (F.col("fp") == F.col("_fp")) & (F.col("n") > 0), "left")
     return out.select("id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
-
-
-def _owned_and_hot(dealt: DataFrame, owners: int, homes: int) -> DataFrame:
-    """Owners' answers by home; hot entries pass with their home as key."""
-    own = _own(homes)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passed: list[pa.RecordBatch] = []
-
-        def cold() -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                key = b.column("key").to_numpy()
-                m = int(np.searchsorted(key, owners))  # sorted by key
-                if m < len(key):
-                    rest = b.slice(m)
-                    dfs = pa.array([np.full(len(t) // 8, 0xFFFFFFFF, np.uint32).tobytes() for t in rest.column("token").to_pylist()], pa.binary())
-                    passed.append(pa.RecordBatch.from_arrays([pa.array((key[m:] - owners).astype(np.int32)), *(rest.column(c) for c in ("fp", "n", "count", "token")), dfs], ["key", "fp", "n", "count", "token", "df"]))
-                if m:
-                    yield b.slice(0, m)
-
-        for out in own(cold()):
-            yield from passed
-            passed.clear()
-            yield out
-        yield from passed
-
-    return dealt.mapInArrow(run, _PACKED)
