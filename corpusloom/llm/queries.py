@@ -144,3 +144,35 @@ i as (
 select p.page_id, p.fetched_at, coalesce(string_agg(m.list, ',' order by m.list), '') as lists, count(m.list) > 0 as blocked
 from p left join m on p.page_id = m.page_id group by p.page_id, p.fetched_at
 """
+
+
+ORACLE_SQL["op10_host_rules"] = r"""
+with d as (select row_number() over () as rid, doc_id, source, coalesce(text, '') as t from documents),
+w as (select *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') as w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls from d),
+p as (select rid, unnest(range(1, len(w) - 6)) as i from w where len(w) > 8),
+g as (select p.rid, i, array_to_string(w[i:i + 7], ' ') as g from p join w using (rid)),
+dup as (select rid, i from (select *, count(*) over (partition by rid, g) as c from g) where c > 1),
+cov as (select rid, count(distinct pos) as n from (select rid, unnest(range(i, i + 8)) as pos from dup) group by rid),
+m as (select w.rid, doc_id, source, len(w)::bigint as n_words, length(array_to_string(w, ''))::bigint as word_chars, (length(t) - length(translate(t, '#*$%&|<>', '')))::bigint as n_symbols,
+             (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines, coalesce(cov.n, 0)::bigint as n_repeat_words from w left join cov using (rid)),
+b as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from m),
+h as (select source, count(*)::double as n, count(*) filter (base_failed)::double as f from b group by source),
+s as (select (sum(f) + 0.5) / (sum(n) + 1) as mean, sum(f * f / n) / sum(n) - (sum(f) / sum(n)) ** 2 as spread, count(*) / sum(n) as hosts from h),
+q as (select mean, case when spread - mean * (1 - mean) * hosts > 1e-9 then least(greatest(mean * (1 - mean) / (spread - mean * (1 - mean) * hosts) - 1, 2.0), 1000.0) else 1000.0 end as k from s),
+bad as (select source from h, q where (f + mean * k) / (n + k) > 0.5)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and not exists (select 1 from bad where bad.source is not distinct from b.source) as kept from b
+"""
+
+ORACLE_SQL["op4_decontaminate"] = r"""
+with lo as (select 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' as a, 'abcdefghijklmnopqrstuvwxyz' as b),
+iw as (select item_id::varchar as item, regexp_extract_all(translate(text, a, b), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark, lo where text is not null),
+ii as (select item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from iw where len(w) > 0),
+win as (select distinct item, array_to_string(w[i:i + 9], ' ') as g, len(w[i:i + 9]) as m from ii),
+dw as (select row_number() over () as rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), a, b), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents, lo),
+pos as (select rid, m, unnest(range(1, len(w) - m + 2)) as i from dw, (select distinct m from win)),
+hit as (select rid, i, item, win.m from (select pos.rid, i, m, array_to_string(w[i:i + m - 1], ' ') as g from pos join dw using (rid)) p join win on p.g = win.g and p.m = win.m),
+n as (select rid, count(distinct k) as n_hit from (select rid, unnest(range(i, i + m)) as k from hit) group by rid),
+it as (select rid, list_sort(list(distinct item)) as items from hit group by rid)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(len(items), 0)::bigint as n_items, sha256(coalesce(array_to_string(items, ','), '')) as items_sha256, items is not null as contaminated
+from dw left join n using (rid) left join it using (rid)
+"""

@@ -29,3 +29,10 @@ def cut(df: DataFrame) -> DataFrame:
     """A reliable checkpoint in the shared folder: computed once, lost executors don't matter."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def aside(docs: DataFrame) -> tuple[DataFrame, tuple[str, ...], Callable[[DataFrame], DataFrame]]:
+    """``docs`` under names that no operator uses, these names, and the way back to the columns of ``docs``."""
+    names = tuple(f"_c{i}" for i in range(len(docs.columns)))
+    back = lambda df: df.select(*(F.col(a).alias(b) for a, b in zip(names, docs.columns, strict=True)))
+    return docs.toDF(*names), names, back

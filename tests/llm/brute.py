@@ -69,3 +69,18 @@ def jaccard_classes(docs: list[tuple], k: int = 5, percent: int = 80) -> list[tu
         r = root(i)
         least[r] = min(least.get(r, doc_id), doc_id)
     return [(docs[i][0], len(sets[i]), least[root(i)]) for i in range(len(docs))]
+
+
+def shares(sizes: dict, weight: dict, budget: float = 1.5, most: float = 2.0) -> dict:
+    """Targets by weight; what passes a cap is shared again by the rest, until nothing does."""
+    left, open_, out = budget * sum(sizes.values()), set(sizes), {}
+    while open_:
+        unit = left / sum(weight[s] for s in open_)
+        full = {s for s in open_ if weight[s] * unit > most * sizes[s]}
+        if not full:
+            return out | {s: weight[s] * unit for s in open_}
+        for s in full:
+            out[s] = most * sizes[s]
+            left -= out[s]
+        open_ -= full
+    return out
