@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import decontam, jaccard, mixing, pii, toxicity
-from corpusloom.llm.tables import shared_dir
+from corpusloom.llm.tables import aside, shared_dir
 
 #: A document with at least this toxicity goes.
 TOXIC = 0.7
@@ -23,7 +23,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Fit on the labelled documents of the input and drop the rejected ones; the score is made beside the row."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     weights = toxicity.train(docs, labels)
-    return toxicity.score(docs, weights, columns=tuple(docs.columns)).where(F.col("score") < TOXIC).select(*docs.columns)
+    inner, names, back = aside(docs)
+    text = names[docs.columns.index("text")]
+    return back(toxicity.score(inner, weights, columns=names, text=text).where(F.col("score") < TOXIC))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,10 +46,13 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def replace_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Surrogates in the text; n_chars follows a text that has changed."""
-    rows = pii.replace(docs)
+    inner, names, back = aside(docs)
+    text = names[docs.columns.index("text")]
+    rows = pii.replace(inner, text=text)
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.size(pii.entities()) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+        size = names[docs.columns.index("n_chars")]
+        rows = rows.withColumn(size, F.when(F.size(pii.entities()) > 0, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col(size)))
+    return back(rows)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
