@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -100,11 +101,10 @@ def _ftrl(features: list[np.ndarray], y: np.ndarray, cfg: Settings, base_rate: f
         w = -(z[at] - np.sign(z[at]) * l1) / ((cfg.beta + np.sqrt(n[at])) / cfg.alpha + cfg.l2)
         return np.where(np.abs(z[at]) <= l1, 0.0, w)
 
-    rows = [np.append(f, size) for f in features]
     rng = np.random.default_rng(cfg.seed)
     for _ in range(cfg.epochs):
-        for i in rng.permutation(len(rows)):
-            at = rows[i]
+        for i in rng.permutation(len(features)):
+            at = np.append(features[i], size).astype(np.int64)
             w = weight(at)
             g = sigmoid(w.sum()) - y[i]
             step = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / cfg.alpha
@@ -136,11 +136,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", where=None,
         return [b.column("id"), b.column("y"), pa.array(out, pa.binary())]
 
     got = map_batches(rows.select("id", "y", "text"), make, T.StructType([T.StructField("id", sample.schema["id"].dataType), T.StructField("y", T.IntegerType()), T.StructField("f", T.BinaryType())]))
-    got = got.dropDuplicates(["id"]).toArrow().sort_by("id")
+    got = got.dropDuplicates(["id"]).toArrow()
     if not got.num_rows:
         return Weights(cfg.bits, float(np.log(base / (1 - base))))
-    features = [np.frombuffer(x.as_buffer(), np.uint32).astype(np.int64) for x in got.column("f")]
-    return fit(features, got.column("y").to_numpy().astype(float), cfg, base)
+    order = pc.sort_indices(got.column("id")).to_pylist()
+    views = [np.frombuffer(x.as_buffer(), np.uint32) for x in got.column("f")]  # the sample is held once, in Arrow's buffers
+    weights = fit([views[i] for i in order], got.column("y").to_numpy()[order].astype(float), cfg, base)
+    del views, got
+    pa.default_memory_pool().release_unused()
+    return weights
 
 
 def score(docs: DataFrame, weights: Weights, columns: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
