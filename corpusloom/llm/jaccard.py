@@ -48,7 +48,9 @@ from corpusloom.llm.tables import cut
 #: A shingle in one of so many documents is hot.
 HOT = 500
 #: Shingles that an owner holds at once, about.
-OWNED = 2_400_000
+OWNED = 2_000_000
+#: Shingles that are dealt to owners at once, about.
+DEALT = 1_000_000
 #: Postings up to which the short lists go through a heap.
 HEAP = 4096
 
@@ -189,6 +191,21 @@ def _entries(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
     return fp, _from_six([r[3] for r in rows])
 
 
+def _gathered(texts: pa.Array, k: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """``digests`` of runs of about DEALT shingles, made slice by slice: the work space of a slice is many times its text."""
+    held: list[tuple[np.ndarray, ...]] = []
+    rows = total = 0
+    for s in slices(texts):
+        n, fp, doc, h = digests(s, k)
+        held.append((n, fp, doc + rows, h))
+        rows, total = rows + len(n), total + len(h)
+        if total >= DEALT:
+            yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+            held, rows, total = [], 0, 0
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+
+
 def _deal(docs: DataFrame, k: int, owners: int, homes: int, hot: np.ndarray) -> DataFrame:
     """Shingles by owner (keys from 0); sizes and hot shingles straight home (keys from ``owners``); once for each set of a slice."""
     held = shipped(docs.sparkSession, hot)
@@ -196,8 +213,7 @@ def _deal(docs: DataFrame, k: int, owners: int, homes: int, hot: np.ndarray) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             seen = np.zeros(0, np.int64)
-            for s in slices(b.column("_text"), 8 << 20):
-                n, fp, doc, h = digests(s, k)
+            for n, fp, doc, h in _gathered(b.column("_text"), k):
                 _, first = np.unique(fp, return_index=True)
                 new = np.zeros(len(n), bool)
                 new[first] = True
