@@ -77,3 +77,16 @@ def platt(margin: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 60
         hessian = (x * (weight * p * (1 - p))) @ x.T + 1e-3 * np.eye(2)
         theta = theta - np.clip(np.linalg.solve(hessian, gradient), -1, 1)
     return float(np.clip(theta[0], 0.2, 5)), float(theta[1])
+
+
+def released() -> None:
+    """Give freed memory back to the system: a driver goes on long after it has fitted a model."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: it keeps what it likes
+        pass

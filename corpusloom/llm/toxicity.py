@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.llm.bytetext import ALNUM, Slice, mix, slices, unique_pairs, words
-from corpusloom.llm.learning import class_counts, labelled_sample, map_batches, platt, shipped, sigmoid
+from corpusloom.llm.learning import class_counts, labelled_sample, map_batches, platt, released, shipped, sigmoid
 
 
 @dataclass(frozen=True)
@@ -35,7 +35,7 @@ class Settings:
     l2: float = 0.5
     epochs: int = 3
     #: Bound of the training sample: labelled rows of either class.
-    rows_per_class: int = 6000
+    rows_per_class: int = 3000
     seed: int = 17
     #: Every so many rows of the sample calibrate the score and don't train the model that they calibrate.
     calibrate_every: int = 4
@@ -143,7 +143,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", where=None,
     views = [np.frombuffer(x.as_buffer(), np.uint32) for x in got.column("f")]  # the sample is held once, in Arrow's buffers
     weights = fit([views[i] for i in order], got.column("y").to_numpy()[order].astype(float), cfg, base)
     del views, got
-    pa.default_memory_pool().release_unused()
+    released()
     return weights
 
 
