@@ -1,0 +1,51 @@
+"""Queries of the driver's tables take whole tables: small tables against naive loops."""
+
+from __future__ import annotations
+
+from datetime import datetime, timedelta, timezone
+
+import pytest
+
+from corpusloom.queries import QUERIES
+
+START = datetime(2026, 1, 1, tzinfo=timezone.utc)
+SUPPLIERS = [(k, k % 3) for k in range(1, 31)]
+EVENTS = [(k, k * 37 % 45, START + timedelta(seconds=k * 101 % 400), ("click", "view")[k % 5 == 0]) for k in range(1, 241)]
+
+
+@pytest.fixture(scope="module")
+def sf(spark, tmp_path_factory):
+    out = tmp_path_factory.mktemp("own")
+    tables = {"supplier": (SUPPLIERS, "s_suppkey long, s_nationkey long"), "events": (EVENTS, "event_id long, user_id long, ts timestamp, event_type string")}
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{out}/{name}.parquet")
+    return str(out)
+
+
+def got(spark, sf, name):
+    return sorted(tuple(r) for r in QUERIES[name](spark, sf).collect())
+
+
+def naive_states():
+    """The last event by (time, id as text) that covers an item decides it."""
+    state = {}
+    for event, user, ts, _ in sorted(EVENTS, key=lambda e: (e[2], f"s{e[0]}")):
+        lo = user % 100 + 1
+        for seq in range(*(min(ends := (lo, lo + event % 7 - 3)), max(ends) + 1)):
+            if 1 <= seq <= len(SUPPLIERS):
+                own = (("defer", "later"), ("reject", "no"), ("accept", None))[event % 3] if seq == lo else ("accept", None)
+                state[seq] = (f"entity:{seq}", *own, f"s{event}", int(ts.timestamp()))
+    return state
+
+
+def naive_promoted():
+    side = {k: "whitelist" if n % 2 == 0 else "blacklist" for k, n in SUPPLIERS}
+    return [(str(k), side[k], "review:alphabetic_candidate_review", f"pack=p1;submission={x[3]}") for k, x in naive_states().items() if x[1] == "accept"]
+
+
+def test_all_events_are_replayed(spark, sf):
+    states, done = naive_states(), naive_promoted()
+    assert got(spark, sf, "review_replay") == sorted(states.values())
+    assert got(spark, sf, "promoted_decisions") == sorted(done)
+    count = lambda rows, i, *of: tuple(sum(r[i] == x for r in rows) for x in of)
+    assert got(spark, sf, "review_summary") == [count(states.values(), 1, "accept", "reject", "defer") + count(done, 1, "whitelist", "blacklist")]
