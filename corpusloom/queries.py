@@ -314,7 +314,7 @@ def registry_rewrite(spark, sf_dir):
     items = _pack(spark, sf_dir)
     new = review.promoted(items, review.replay(items, _submissions(spark, sf_dir)), "p1")
     k = F.col("c_custkey")
-    old = table(spark, sf_dir, "customer").where("c_custkey <= 150").select(k.cast("string").alias("entity_key"), F.lit(False).alias("strict_case"), F.col("c_mktsegment").alias("status"), F.when(k % 3 == 0, "review:old").otherwise("manual").alias("source"), F.lit("").alias("note"))
+    old = table(spark, sf_dir, "customer").select(k.cast("string").alias("entity_key"), F.lit(False).alias("strict_case"), F.col("c_mktsegment").alias("status"), F.when(k % 3 == 0, "review:old").otherwise("manual").alias("source"), F.lit("").alias("note"))
     return ledgers.rewrite_with_promotions(old, new).drop("strict_case")
 
 

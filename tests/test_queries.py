@@ -10,13 +10,14 @@ from corpusloom.queries import QUERIES
 
 START = datetime(2026, 1, 1, tzinfo=timezone.utc)
 SUPPLIERS = [(k, k % 3) for k in range(1, 31)]
+CUSTOMERS = [(k, ("AUTO", "TOYS")[k % 2]) for k in range(1, 201)]
 EVENTS = [(k, k * 37 % 45, START + timedelta(seconds=k * 101 % 400), ("click", "view")[k % 5 == 0]) for k in range(1, 241)]
 
 
 @pytest.fixture(scope="module")
 def sf(spark, tmp_path_factory):
     out = tmp_path_factory.mktemp("own")
-    tables = {"supplier": (SUPPLIERS, "s_suppkey long, s_nationkey long"), "events": (EVENTS, "event_id long, user_id long, ts timestamp, event_type string")}
+    tables = {"supplier": (SUPPLIERS, "s_suppkey long, s_nationkey long"), "customer": (CUSTOMERS, "c_custkey long, c_mktsegment string"), "events": (EVENTS, "event_id long, user_id long, ts timestamp, event_type string")}
     for name, (rows, schema) in tables.items():
         spark.createDataFrame(rows, schema).write.parquet(f"{out}/{name}.parquet")
     return str(out)
@@ -49,3 +50,9 @@ def test_all_events_are_replayed(spark, sf):
     assert got(spark, sf, "promoted_decisions") == sorted(done)
     count = lambda rows, i, *of: tuple(sum(r[i] == x for r in rows) for x in of)
     assert got(spark, sf, "review_summary") == [count(states.values(), 1, "accept", "reject", "defer") + count(done, 1, "whitelist", "blacklist")]
+
+
+def test_the_whole_registry_is_rewritten(spark, sf):
+    new = {r[0]: r for r in naive_promoted()}
+    kept = [(str(k), segment, "manual", "") for k, segment in CUSTOMERS if k % 3 and str(k) not in new]
+    assert got(spark, sf, "registry_rewrite") == sorted([*kept, *new.values()])
