@@ -326,7 +326,7 @@ def review_summary(spark, sf_dir):
 
 
 def _entries(spark, sf_dir) -> DataFrame:
-    o = table(spark, sf_dir, "orders").where("o_orderkey % 10 = 0")
+    o = table(spark, sf_dir, "orders")
     pack = F.concat(F.lit("p"), F.col("o_orderkey").cast("string"))
     track = F.when(F.col("o_orderstatus") == "F", "working").when(F.col("o_orderstatus") == "O", "dev")
     return o.select(pack.alias("pack_id"), F.concat(F.lit("Pack "), pack).alias("title"), F.concat(F.lower(F.substring("o_orderpriority", 1, 1)), F.lit("_review_stage")).alias("review_stage"), track.alias("track_name"), F.floor("o_totalprice").cast("long").alias("created_at_epoch"), F.lit(3).alias("item_count"), F.concat(pack, F.lit(".json")).alias("site_filename"))
@@ -354,7 +354,7 @@ select line_no, coalesce(r, case when k > 1 then 'duplicate_submission_id' end,
 )
 def submission_routing(spark, sf_dir):
     sid = F.concat(F.lit("s"), F.pmod("user_id", F.lit(400)).cast("string"))
-    rows = table(spark, sf_dir, "events").where("event_id % 4 = 0").select(F.col("event_id").alias("line_no"), F.col("event_type").alias("submission_type"), F.lit("stage").alias("review_stage"), F.when(sid != "s0", sid).otherwise("").alias("submission_id"), F.concat(F.lit("p"), F.pmod("event_id", F.lit(5)).cast("string")).alias("pack_id"))
+    rows = table(spark, sf_dir, "events").select(F.col("event_id").alias("line_no"), F.col("event_type").alias("submission_type"), F.lit("stage").alias("review_stage"), F.when(sid != "s0", sid).otherwise("").alias("submission_id"), F.concat(F.lit("p"), F.pmod("event_id", F.lit(5)).cast("string")).alias("pack_id"))
     packs = spark.range(1, 4).select(F.concat(F.lit("p"), F.col("id").cast("string")).alias("pack_id"))
     return review.route_submissions(rows, packs, "click", "stage").select("line_no", "reason")
 

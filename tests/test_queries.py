@@ -11,13 +11,14 @@ from corpusloom.queries import QUERIES
 START = datetime(2026, 1, 1, tzinfo=timezone.utc)
 SUPPLIERS = [(k, k % 3) for k in range(1, 31)]
 CUSTOMERS = [(k, ("AUTO", "TOYS")[k % 2]) for k in range(1, 201)]
+ORDERS = [(k, "FOP"[k % 3], f"{k % 4}-X", k * 7919 % 1000 + 0.5) for k in range(1, 121)]
 EVENTS = [(k, k * 37 % 45, START + timedelta(seconds=k * 101 % 400), ("click", "view")[k % 5 == 0]) for k in range(1, 241)]
 
 
 @pytest.fixture(scope="module")
 def sf(spark, tmp_path_factory):
     out = tmp_path_factory.mktemp("own")
-    tables = {"supplier": (SUPPLIERS, "s_suppkey long, s_nationkey long"), "customer": (CUSTOMERS, "c_custkey long, c_mktsegment string"), "events": (EVENTS, "event_id long, user_id long, ts timestamp, event_type string")}
+    tables = {"supplier": (SUPPLIERS, "s_suppkey long, s_nationkey long"), "customer": (CUSTOMERS, "c_custkey long, c_mktsegment string"), "orders": (ORDERS, "o_orderkey long, o_orderstatus string, o_orderpriority string, o_totalprice double"), "events": (EVENTS, "event_id long, user_id long, ts timestamp, event_type string")}
     for name, (rows, schema) in tables.items():
         spark.createDataFrame(rows, schema).write.parquet(f"{out}/{name}.parquet")
     return str(out)
@@ -56,3 +57,30 @@ def test_the_whole_registry_is_rewritten(spark, sf):
     new = {r[0]: r for r in naive_promoted()}
     kept = [(str(k), segment, "manual", "") for k, segment in CUSTOMERS if k % 3 and str(k) not in new]
     assert got(spark, sf, "registry_rewrite") == sorted([*kept, *new.values()])
+
+
+def naive_packs():
+    """(stage, track, (epoch, pack)) of every order."""
+    return [(f"{priority[0]}_review_stage", {"F": "working", "O": "dev"}.get(status, "working"), (int(price), f"p{k}")) for k, status, priority, price in ORDERS]
+
+
+def test_all_orders_are_packs(spark, sf):
+    packs = naive_packs()
+    best = lambda stage, tracks: max((at for s, t, at in packs if s == stage and t in tracks), default=None)
+    rows = []
+    for stage, track, at in packs:
+        latest = best(stage, ("working",)) or best(stage, ("working", "dev"))
+        rows.append((at[1], stage, track, f"active-{track}" if at == best(stage, (track,)) else "archived", latest[1]))
+    assert got(spark, sf, "review_manifest") == sorted(rows)
+    tops = [(t, *max((at, s) for s, x, at in packs if x == t)) for t in ("dev", "working")]
+    assert got(spark, sf, "current_tracks") == [(t, stage, at[1]) for t, at, stage in tops]
+
+
+def test_all_submissions_are_routed(spark, sf):
+    rows, seen = [], set()
+    for event, user, _, kind in EVENTS:
+        sid = f"s{user % 400}"
+        reason = "wrong_submission_type" if kind != "click" else "missing_submission_id" if sid == "s0" else "duplicate_submission_id" if sid in seen else "unknown_pack_id" if event % 5 not in (1, 2, 3) else None
+        seen |= {sid} if reason in (None, "duplicate_submission_id", "unknown_pack_id") else set()
+        rows.append((event, reason))
+    assert got(spark, sf, "submission_routing") == rows
