@@ -45,7 +45,7 @@ _TITLE = "(?:" + "|".join(t.replace("-", "\\-") for g in TITLES.values() for t i
 _NAME = r"\p{Lu}\p{Ll}{1,30}"
 FORMS = {
     "key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "secret": r"(?<![A-Za-z0-9])(?i:password|passwd|pwd|token|secret|api[_-]?key)[ \t]{0,3}[=:][ \t]{0,3}[\"']?(?=[A-Za-z_+/.-]{0,128}[0-9])[A-Za-z0-9_+/.-]{8,128}",
+    "secret": r"(?<![A-Za-z0-9])(?i:password|passwd|pwd|token|secret|api[_-]?key)[ \t]{0,3}[=:][ \t]{0,3}[\"']?(?=[A-Za-z_+/.-]*+[0-9])[A-Za-z0-9_+/.-]{8,}+",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,7}\.[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "ip": rf"(?<![0-9.]){OCTET}(?:\.{OCTET}){{3}}(?!\.?[0-9])",
     "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?\([0-9]{2,4}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){3,4}|\([0-9]{3}\) ?[0-9]{3}[-. ][0-9]{4}|[0-9]{3}([-.])[0-9]{3}\1[0-9]{4})(?![0-9])",
@@ -60,6 +60,8 @@ ANY = "|".join(f"(?:{x})" for x in FORMS.values())
 HINT = rf"[0-9@]|A[KS]IA[A-Z]|(?=[MHFSг]){_TITLE}\.? \p{{Lu}}"
 CLASSES = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ", "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ", "АЕИОУЫЭЮЯ", "БВГДЖЗКЛМНПРСТФХЦЧШЩ", "áéíóúàèìòùâêîôûäöü", "ÁÉÍÓÚÀÈÌÒÙÂÊÎÔÛÄÖÜ")
 HEX = ("0123456789abcdef",)
+#: Characters of a string that are hashed one by one with all before them.
+BLOCK = 128
 
 
 def _shifted(c: Column, h: Column, classes: tuple[str, ...]) -> Column:
@@ -73,8 +75,16 @@ def _shifted(c: Column, h: Column, classes: tuple[str, ...]) -> Column:
 def veiled(s: Column, key: int | Column, kind: str, classes: tuple[str, ...] = CLASSES) -> Column:
     """``s`` with every character replaced within its class, by what stands before it."""
     canon = lambda x: F.regexp_replace(F.lower(x), r"[^\p{L}\p{N}]", "")
-    one = lambda i: _shifted(F.substring(s, i, F.lit(1)), F.xxhash64(F.lit(key), F.lit(kind), canon(F.substring(s, F.lit(1), i - 1))), classes)
-    return F.when(F.length(s) > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.length(s)), one), "")).otherwise(s)
+
+    def moved(block: Column, before: Column) -> Column:
+        one = lambda i: _shifted(F.substring(block, i, F.lit(1)), F.xxhash64(F.lit(key), F.lit(kind), canon(F.substring(block, F.lit(1), i - 1)), before), classes)
+        return F.array_join(F.transform(F.sequence(F.lit(1), F.length(block)), one), "")
+
+    # Long strings go block by block, each after a hash of the blocks before it (null for the first, which a hash skips): the work grows with the length.
+    blocks = F.regexp_extract_all(s, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    chain = lambda bs: F.aggregate(bs, F.array(F.lit(None).cast("long")), lambda a, b: F.concat(a, F.array(F.xxhash64(canon(b), F.element_at(a, -1)))))
+    long = let(blocks, lambda bs: F.array_join(F.zip_with(bs, F.slice(chain(bs), F.lit(1), F.size(bs)), moved), ""))
+    return F.when(F.length(s) > BLOCK, long).when(F.length(s) > 0, moved(s, F.lit(None).cast("long"))).otherwise(s)
 
 
 def _kept_front(s: Column, front: str, key: int, kind: str, classes: tuple[str, ...] = CLASSES) -> Column:

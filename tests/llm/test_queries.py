@@ -258,6 +258,22 @@ def test_pii_keeps_entities_apart(spark):
     assert len(set(new)) == len(made) and pii.collisions(df, 1) == 0
 
 
+def test_pii_replaces_long_secrets_whole(spark):
+    """Values of any length go to their last character, also where the first digit comes late; such with one beginning stay apart."""
+    from corpusloom.llm import pii
+
+    rng = random.Random(9)
+    some = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(n))
+    jwt, late, huge = f"eyJ{some(300)}.{some(400)}.{some(99)}", "Qx" * 150 + some(50) + "7", some(40_000)
+    values = [jwt, jwt[:-1] + ("a" if jwt[-1] != "a" else "b"), jwt.replace("eyJ", "eyK"), late, huge, some(128), some(129)]
+    df = spark.createDataFrame([(i, f'x token = "{v}" y') for i, v in enumerate([*values, jwt])], "doc_id long, text string")
+    new = [r["text"] for r in pii.replace(df).orderBy("doc_id").collect()]
+    for v, t in zip(values, new, strict=False):
+        assert t.startswith('x token = "') and t.endswith('" y') and len(t) == len(v) + 14
+        assert not any(v[i : i + 16] in t for i in range(0, len(v) - 15)) and v[-16:] not in t
+    assert new[-1] == new[0] and len(set(new)) == len(values)
+
+
 def test_pii_query(spark, sf):
     rows = got(spark, sf, "op8_pii_surrogates", "doc_id", "text", "n_entities")
     assert by_text((i, t, 0) for i, t, *_ in sf[1]) == by_text(rows)  # nothing to find here
