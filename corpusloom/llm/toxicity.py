@@ -13,11 +13,12 @@ Columns of the input other than the id and the text are not read.
 
 from __future__ import annotations
 
+import os
+import tempfile
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +36,7 @@ class Settings:
     l2: float = 0.5
     epochs: int = 3
     #: Bound of the training sample: labelled rows of either class.
-    rows_per_class: int = 3000
+    rows_per_class: int = 6000
     seed: int = 17
     #: Every so many rows of the sample calibrate the score and don't train the model that they calibrate.
     calibrate_every: int = 4
@@ -76,22 +77,41 @@ def presence(s: Slice, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return doc, key
 
 
-def fit(features: list[np.ndarray], y: np.ndarray, cfg: Settings, base_rate: float) -> Weights:
-    """Fit on all rows; slope and offset of the log odds come from rows that a first model hasn't seen."""
+class Shelf:
+    """Features of the sample's rows in a temporary file of the driver, which reads one row at a time."""
+
+    def __init__(self) -> None:
+        self.file, self.ends = tempfile.TemporaryFile(), [0]
+
+    def add(self, row: bytes) -> None:
+        self.file.write(row)
+        self.ends.append(self.ends[-1] + len(row))
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        self.file.flush()
+        return np.frombuffer(os.pread(self.file.fileno(), self.ends[i + 1] - self.ends[i], self.ends[i]), np.uint32)
+
+
+#: Partitions in which the sample comes to the driver, one after another.
+SHARDS = 16
+
+
+def fit(features: Shelf | list[np.ndarray], order: np.ndarray, y: np.ndarray, cfg: Settings, base_rate: float) -> Weights:
+    """Fit on all rows, of which ``order`` says where their features are; slope and offset of the log odds come from rows that a first model hasn't seen."""
     last = np.arange(len(y)) % cfg.calibrate_every == 0
     slope, offset = 1.0, 0.0
     if len(set(y[last])) == 2 == len(set(y[~last])):
-        first = _ftrl([f for f, x in zip(features, last, strict=True) if not x], y[~last], cfg, base_rate)
+        first = _ftrl(features, order[~last], y[~last], cfg, base_rate)
         table = first.dense()
-        margin = np.array([first.intercept + table[f].sum() for f, x in zip(features, last, strict=True) if x])
+        margin = np.array([first.intercept + table[features[i]].sum() for i in order[last]])
         share = y[last].mean()
         weight = np.where(y[last] == 1, base_rate / share, (1 - base_rate) / (1 - share))
         slope, offset = platt(margin, y[last], weight)
-    out = _ftrl(features, y, cfg, base_rate)
+    out = _ftrl(features, order, y, cfg, base_rate)
     return Weights(out.bits, out.intercept * slope + offset, out.index, (out.value * slope).astype(np.float32))
 
 
-def _ftrl(features: list[np.ndarray], y: np.ndarray, cfg: Settings, base_rate: float) -> Weights:
+def _ftrl(features: Shelf | list[np.ndarray], order: np.ndarray, y: np.ndarray, cfg: Settings, base_rate: float) -> Weights:
     """FTRL-proximal over the rows in a seeded order; the intercept is moved to ``base_rate``."""
     size = 1 << cfg.bits
     z, n = np.zeros(size + 1), np.zeros(size + 1)
@@ -103,8 +123,8 @@ def _ftrl(features: list[np.ndarray], y: np.ndarray, cfg: Settings, base_rate: f
 
     rng = np.random.default_rng(cfg.seed)
     for _ in range(cfg.epochs):
-        for i in rng.permutation(len(features)):
-            at = np.append(features[i], size).astype(np.int64)
+        for i in rng.permutation(len(order)):
+            at = np.append(features[order[i]], size).astype(np.int64)
             w = weight(at)
             g = sigmoid(w.sum()) - y[i]
             step = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / cfg.alpha
@@ -136,13 +156,16 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", where=None,
         return [b.column("id"), b.column("y"), pa.array(out, pa.binary())]
 
     got = map_batches(rows.select("id", "y", "text"), make, T.StructType([T.StructField("id", sample.schema["id"].dataType), T.StructField("y", T.IntegerType()), T.StructField("f", T.BinaryType())]))
-    got = got.dropDuplicates(["id"]).toArrow()
-    if not got.num_rows:
+    shelf, ids, y = Shelf(), [], []
+    for r in got.repartition(SHARDS, "id").dropDuplicates(["id"]).toLocalIterator():
+        shelf.add(r["f"])
+        ids.append(r["id"])
+        y.append(r["y"])
+    if not ids:
         return Weights(cfg.bits, float(np.log(base / (1 - base))))
-    order = pc.sort_indices(got.column("id")).to_pylist()
-    views = [np.frombuffer(x.as_buffer(), np.uint32) for x in got.column("f")]  # the sample is held once, in Arrow's buffers
-    weights = fit([views[i] for i in order], got.column("y").to_numpy()[order].astype(float), cfg, base)
-    del views, got
+    order = np.array(sorted(range(len(ids)), key=ids.__getitem__))
+    weights = fit(shelf, order, np.array(y, float)[order], cfg, base)
+    del shelf
     released()
     return weights
 

@@ -90,6 +90,21 @@ def test_classifiers(spark, sf, name, label, modulus, held, threshold):
     assert rows and by_text(rows) == by_text(got(spark, sf, name, "doc_id", "held_out", "score", "predicted"))  # reruns agree
 
 
+def test_toxicity_trains_on_6000_rows_a_class(spark, monkeypatch):
+    """More labelled rows of a class than the former bound all reach the learner, with their own features and in the order of their ids."""
+    from corpusloom.llm import toxicity
+
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda features, order, y, cfg, base: seen.append(([features[i].tolist() for i in order], y)) or toxicity.Weights(cfg.bits, base))
+    n = 7000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 9 == 0, "").otherwise(F.concat(F.lit("w"), F.col("id"))).alias("text"))
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    toxicity.train(docs.unionByName(docs), labels)
+    features, y = seen[0]
+    assert y.tolist() == [i % 2 for i in range(n)]
+    assert [len(f) for f in features] == [int(i % 9 > 0) for i in range(n)] and len({*map(tuple, features)}) > n * 8 / 9 * 0.99
+
+
 def test_jaccard_join(spark, sf):
     want = brute.jaccard_classes([(10**6 if i is None else i, t) for i, t, *_ in sf[1]])
     rows = [(10**6 if i is None else i, n, 10**6 if c is None else c) for i, n, c in got(spark, sf, "op2_jaccard_join", "doc_id", "n_shingles", "component_id")]
