@@ -195,14 +195,14 @@ def unit_verdicts(spark, sf_dir):
 
 @query(f"with {TYPES_SQL} select entity_key, occurrence_count, unit_count, array_to_string(surface_forms, ' | ') as surface_forms from types where status = 'unknown' and occurrence_count >= 3")
 def unresolved_report(spark, sf_dir):
-    rows = aggregate.unresolved_report(_types(spark, sf_dir).withColumn("example_texts", F.array().cast("array<string>")), min_occurrences=3)
+    rows = aggregate.unresolved_report(_types(spark, sf_dir).withColumn("example_texts", F.array().cast("array<string>")))
     return rows.select("entity_key", "occurrence_count", "unit_count", F.array_join("surface_forms", " | ").alias("surface_forms"))
 
 
 @query()
 def unresolved_snippets(spark, sf_dir):
     types = aggregate.attach_examples(_types(spark, sf_dir), _units(spark, sf_dir))
-    return tables.report_lines(aggregate.unresolved_report(types, min_occurrences=5))
+    return tables.report_lines(aggregate.unresolved_report(types))
 
 
 @query(
@@ -366,8 +366,8 @@ def issue_attachments(spark, sf_dir):
 
 
 def _numbered_types(spark, sf_dir) -> DataFrame:
-    rows = _types(spark, sf_dir).where("occurrence_count >= 20").withColumn("example_texts", F.slice("example_unit_ids", 1, 2))
-    return rows.withColumn("line_no", F.row_number().over(W.orderBy("entity_key")))
+    """All types; their number is read only where a key is missing, and none is, so it need not be dense."""
+    return _types(spark, sf_dir).withColumn("example_texts", F.slice("example_unit_ids", 1, 2)).withColumn("line_no", F.monotonically_increasing_id() + 1)
 
 
 _PROMPT = r"""pm as (select entity_key as item_id, 'Judge one entity.' || chr(10) || 'Return {"status":"in_scope|out_of_scope"}' || chr(10) || 'Key: ' || entity_key || chr(10) || 'Forms: ' || array_to_string(surface_forms, ' | ') || chr(10) || 'Counts: ' || occurrence_count || '/' || unit_count || chr(10) || 'Examples:' || chr(10) || array_to_string(list_transform(example_unit_ids[1:2], lambda x: '- ' || x), chr(10)) || chr(10) as prompt from types where occurrence_count >= 20)"""

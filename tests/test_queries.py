@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -12,13 +13,14 @@ START = datetime(2026, 1, 1, tzinfo=timezone.utc)
 SUPPLIERS = [(k, k % 3) for k in range(1, 31)]
 CUSTOMERS = [(k, ("AUTO", "TOYS")[k % 2]) for k in range(1, 201)]
 ORDERS = [(k, "FOP"[k % 3], f"{k % 4}-X", k * 7919 % 1000 + 0.5) for k in range(1, 121)]
+DOCUMENTS = [(0, "Zebra runs. Zebra hides. the Quagga sleeps.", "a"), (1, "Zebra, Okapi", "b")]
 EVENTS = [(k, k * 37 % 45, START + timedelta(seconds=k * 101 % 400), ("click", "view")[k % 5 == 0]) for k in range(1, 241)]
 
 
 @pytest.fixture(scope="module")
 def sf(spark, tmp_path_factory):
     out = tmp_path_factory.mktemp("own")
-    tables = {"supplier": (SUPPLIERS, "s_suppkey long, s_nationkey long"), "customer": (CUSTOMERS, "c_custkey long, c_mktsegment string"), "orders": (ORDERS, "o_orderkey long, o_orderstatus string, o_orderpriority string, o_totalprice double"), "events": (EVENTS, "event_id long, user_id long, ts timestamp, event_type string")}
+    tables = {"supplier": (SUPPLIERS, "s_suppkey long, s_nationkey long"), "customer": (CUSTOMERS, "c_custkey long, c_mktsegment string"), "orders": (ORDERS, "o_orderkey long, o_orderstatus string, o_orderpriority string, o_totalprice double"), "documents": (DOCUMENTS, "doc_id long, text string, source string"), "events": (EVENTS, "event_id long, user_id long, ts timestamp, event_type string")}
     for name, (rows, schema) in tables.items():
         spark.createDataFrame(rows, schema).write.parquet(f"{out}/{name}.parquet")
     return str(out)
@@ -84,3 +86,16 @@ def test_all_submissions_are_routed(spark, sf):
         seen |= {sid} if reason in (None, "duplicate_submission_id", "unknown_pack_id") else set()
         rows.append((event, reason))
     assert got(spark, sf, "submission_routing") == rows
+
+
+def test_rare_types_get_prompts_and_reports(spark, sf):
+    types = {r["entity_key"]: r for r in QUERIES["entity_types"](spark, sf).collect()}
+    assert min(r["occurrence_count"] for r in types.values()) == 1
+    prompts = dict(got(spark, sf, "prompt_render"))
+    assert prompts.keys() == types.keys() and all(f"Counts: {r['occurrence_count']}/{r['unit_count']}\n" in prompts[k] for k, r in types.items())
+    assert sorted(json.loads(v)["custom_id"] for v, in got(spark, sf, "request_lines")) == sorted(types)
+    sizes = [len(p) for p in prompts.values()]
+    assert got(spark, sf, "prompt_sizes") == [(len(sizes), min(sizes), max(sizes), sum(sizes))]
+    unknown = sorted(k for k, r in types.items() if r["base_list_status"] == "unknown")
+    assert [r[0] for r in got(spark, sf, "unresolved_report")] == unknown
+    assert sorted(r[0].split("\t")[0] for r in got(spark, sf, "unresolved_snippets")) == unknown
