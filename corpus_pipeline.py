@@ -29,15 +29,31 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group that links connect, the document with the smallest id stays (one row of it); wordless documents are no group and all stay."""
-    found = jaccard.classes(docs.select("doc_id", "text"))
-    gone = found.where("n_shingles > 0 and id <> component_id").select(F.col("id").alias("doc_id")).distinct()
-    again = found.where("n_shingles > 0").groupBy("id").count().where("count > 1").select(F.col("id").alias("doc_id"))
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group that links connect, one row stays: the smallest id's (ids of null last), of its texts the one with the smallest hash; wordless documents are no group and all stay.
+
+    What goes is decided by id and text, so a text that no link reaches stays whatever else its id has.
+    """
+    inner, names, back = aside(docs)
+    doc, text = names[docs.columns.index("doc_id")], names[docs.columns.index("text")]
+    keyed = inner.withColumn("_key", F.struct(F.col(doc).isNull().alias("none"), F.col(doc).alias("doc"), F.xxhash64(F.col(text).cast("string")).alias("hash")))
+    found = jaccard.classes(keyed, id_col="_key", text=text).where("n_shingles > 0")
+    gone = found.where("id <> component_id").select(F.col("id").alias("_key")).distinct()
+    again = found.where("id = component_id").groupBy("id").count().where("count > 1").select(F.col("id").alias("_key"))
+    kept = _without(keyed, gone)
     if again.isEmpty():
-        return kept
-    twice = kept.join(again, "doc_id", "left_semi").select(*docs.columns)  # ids that repeat: one row of each text
-    return kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(twice.dropDuplicates(["doc_id", "text"]))
+        return back(kept)
+    twice = kept.join(again, _same(kept, again), "left_semi")  # repeated rows: one of each
+    return back(_without(kept, again).unionByName(twice.dropDuplicates(["_key"])))
+
+
+def _same(rows: DataFrame, keys: DataFrame):
+    """Equal keys, part by part; nulls are equal."""
+    a, b = rows["_key"], keys["_key"]
+    return (a["hash"] == b["hash"]) & a["doc"].eqNullSafe(b["doc"])
+
+
+def _without(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    return rows.join(keys, _same(rows, keys), "left_anti")
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -373,3 +373,19 @@ def test_pipeline(spark, sf):
     ids = {r["doc_id"] for r in last}
     assert len(last) == len({(r["doc_id"], r["size"]) for r in last}) and 906 in ids and 901 in ids
     assert not any(i in ids for i, _, _, _, _, bad in brute.decontaminated([x[:2] for x in sf[1]], sf[2]) if bad)
+
+
+def test_copies_go_by_row(spark):
+    """Ids that repeat with other texts, and ids of null: only rows that a link reaches go."""
+    import corpus_pipeline as P
+
+    rng = random.Random(3)
+    a, b, c, d, e = (words(rng, 60) for _ in range(5))
+    rows = [(1, a), (2, a), (2, b), (None, b), (None, c), (None, c), (None, d), (3, e), (3, e + " more"), (3, e + " more"), (4, ""), (4, ""), (None, None), (5, "")]
+    df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, _key long")
+    out = P.keep_one_of_each(spark, df, "")
+    assert out.columns == df.columns
+    kept = [(r["doc_id"], r["text"]) for r in out.collect()]
+    near = [x for x in kept if x[0] == 3]
+    assert len(near) == 1 and near[0] in rows
+    assert by_text(x for x in kept if x[0] != 3) == by_text([(1, a), (2, b), (None, c), (None, d), (4, ""), (4, ""), (None, None), (5, "")])
