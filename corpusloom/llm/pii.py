@@ -30,8 +30,8 @@ from corpusloom.llm.tables import let
 # The forms of entities, in order of precedence.
 OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 TITLES = {
-    "m": ("Mr", "Mister", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "господин", "г-н"),
-    "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora", "Señorita", "Sra", "госпожа", "г-жа"),
+    "m": ("Mr", "Mister", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "господин", "г-н", "Господин", "Г-н"),
+    "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora", "Señorita", "Sra", "госпожа", "г-жа", "Госпожа", "Г-жа"),
 }
 GIVEN = {
     "m": ("James", "John", "Robert", "Michael", "David", "Thomas", "Daniel", "Paul", "Peter", "Lukas", "Hans", "Jürgen", "Stefan", "Pierre", "Jean", "Louis", "Antoine", "Juan", "Carlos", "José", "Miguel", "Pablo"),
@@ -57,7 +57,7 @@ FORMS = {
 TYPES = tuple(FORMS)
 ANY = "|".join(f"(?:{x})" for x in FORMS.values())
 #: Without one of these characters or titles no form matches.
-HINT = rf"[0-9@]|A[KS]IA[A-Z]|(?=[MHFSг]){_TITLE}\.? \p{{Lu}}"
+HINT = rf"[0-9@]|A[KS]IA[A-Z]|(?=[MHFSгГ]){_TITLE}\.? \p{{Lu}}"
 CLASSES = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ", "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ", "АЕИОУЫЭЮЯ", "БВГДЖЗКЛМНПРСТФХЦЧШЩ", "áéíóúàèìòùâêîôûäöü", "ÁÉÍÓÚÀÈÌÒÙÂÊÎÔÛÄÖÜ")
 HEX = ("0123456789abcdef",)
 #: Characters of a string that are hashed one by one with all before them.

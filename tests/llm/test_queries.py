@@ -289,6 +289,16 @@ def test_pii_replaces_long_secrets_whole(spark):
     assert new[-1] == new[0] and len(set(new)) == len(values)
 
 
+def test_pii_finds_titles_at_the_start_of_a_sentence(spark):
+    from corpusloom.llm import pii
+
+    texts = ["Г-жа Анна Иванова", "г-жа Анна Иванова", "Господин Иванов", "Госпожа Ольга Петрова пришла.", "Г-н Сергей Иванов"]
+    new = [r["text"] for r in pii.replace(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    for old, text in zip(texts, new, strict=True):
+        assert text.split()[0] == old.split()[0] and not {*old.split()[1:3]} & {*text.split()}
+    assert new[0].split()[1:] == new[1].split()[1:] and new[0].split()[1] in pii.GIVEN_CYRILLIC["f"] and new[3].endswith(" пришла.")
+
+
 def test_pii_query(spark, sf):
     rows = got(spark, sf, "op8_pii_surrogates", "doc_id", "text", "n_entities")
     assert by_text((i, t, 0) for i, t, *_ in sf[1]) == by_text(rows)  # nothing to find here
