@@ -5,25 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.tables import cut
+from corpusloom.llm.tables import cut, keyed
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
     """(node, root) of every node of the edges; root is the least node of its component.
 
-    Each round works on a checkpointed table of at most as many edges as there were, so nothing
-    is gathered; it ends when a round changes no edge.
+    Each round works on checkpointed tables of at most as many edges as there were. A hub's
+    edges meet its least neighbour by a broadcast (see ``keyed``), so nothing is gathered; it
+    ends when a round changes no edge. Loops and repeated edges don't matter; null ends must not occur.
     """
-    e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
-    e = cut(e)
-    seen = None
+    e = cut(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
+    seen, n = None, e.count()
     for _ in range(rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("p")).select("p.*")
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count_if(F.col("v") > F.col("u")).alias("_n"))
+        large = keyed(both.where("v > u"), least, "u", n).where("v <> m")
+        large = cut(large.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_n"))
+        small = keyed(large, least, "u", n)
+        small = small.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("p")).select("p.*")
         e = cut(small.where("u <> v").distinct())
         now = e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.hash("u", "v").cast("long"))).first()
         if now == seen:

@@ -112,26 +112,86 @@ def test_jaccard_join(spark, sf):
 
 
 def test_jaccard_fragments_and_hot_groups(spark):
-    """Blocks cut into fragments, copies in one large group, and the counting merge find the same classes."""
+    """Large blocks cut into tasks (by lists, by fragments around a group of near copies) and copies in one large group find the same classes."""
     from corpusloom.llm import jaccard
 
     rng = random.Random(2)
     base = words(rng, 60).split()
     docs = [(i, " ".join(base[:k] + ["zz"] * (i % 2) + base[k + i % 3 :])) for i, k in enumerate(rng.choices(range(40), k=150))]
     docs += [(1000 + i, " ".join(base)) for i in range(200)] + [(2000 + i, words(rng, 9) + " " + " ".join(base[: 30 + i % 3])) for i in range(40)]
+    docs += [(3000 + i, " ".join(base[i % 7 : i % 7 + 25] + words(rng, rng.randrange(1, 12)).split())) for i in range(120)]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
     want = by_text(brute.jaccard_classes(docs))
-    for settings in ({}, {"block_classes": 7}):
+    for settings in ({}, {"task_work": 20_000}, {"task_work": 500}):
         assert by_text(tuple(r) for r in jaccard.classes(df, **settings).collect()) == want
-    heap, jaccard.HEAP = jaccard.HEAP, 0
-    try:
-        size = jaccard.np.array([len(set(range(a, a + 50))) for a in range(30)])
-        block = jaccard.Block(size, [jaccard.np.arange(a, a + 50) for a in range(30)], 80)
-        for q in range(30):
-            block.search(q)
-        assert set(block.roots(jaccard.np.arange(30)).tolist()) == {0}  # neighbours overlap by 49
+
+
+def test_block_search():
+    """T-occurrence finds what comparing all pairs finds, whatever is connected or excluded before."""
+    from corpusloom.llm import jaccard
+
+    np, rng = jaccard.np, random.Random(6)
+    chain = jaccard.Block(np.full(30, 50), [np.arange(a, a + 50) for a in range(30)], 80)
+    assert len(chain.search()) == 29  # neighbours overlap by 49
+    for trial in range(40):
+        base = [rng.sample(range(400), 40) for _ in range(3)]
+        sets = sorted(({*(b := rng.choice(base))[rng.randrange(8) :], *rng.sample(range(400), rng.randrange(9))} for _ in range(rng.randrange(1, 60))), key=len)
+        size, tokens = np.array([len(x) for x in sets]), [np.array(sorted(x)) for x in sets]
+        part = np.array([rng.choice([-1, 0, 1]) for _ in sets]) if trial % 2 else None
+        group = np.array([rng.choice([0, 0, 1, i + 5]) for i in range(len(sets))]) if trial % 3 == 0 else None
+        at = list(range(len(sets)))
+        if group is not None:
+            at = [int(np.flatnonzero(group == g)[0]) for g in group]
+        linked = lambda i, j: 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) and (part is None or part[i] != part[j] or part[i] < 0)
+        found = jaccard.Block(size, tokens, 80, group, part).search()
+        assert all(linked(a, b) for a, b in found)
+
+        def roots(edges):
+            up = at.copy()
+            for a, b in edges:
+                a, b = ({up[a], up[b]} | {up[b]}), up[a]
+                up[:] = [b if x in a else x for x in up]
+            return [up.index(x) for x in up]
+
+        assert roots(found) == roots([(i, j) for i in range(len(sets)) for j in range(i) if linked(i, j)])
+
+
+def test_packed_entries_keep_all_64_bits():
+    """Set hashes and shingles that differ in their upper bits alone stay apart on the way from documents to owners and homes."""
+    from corpusloom.llm import jaccard
+
+    np, rng = jaccard.np, random.Random(1)
+    for n in (1, 256, 1000, 70_001):
+        owners = jaccard.Owners(n)
+        h = np.array([(rng.getrandbits(16) << 48) | low for low in (0, 5, (1 << 48) - 1) for _ in range(300)] + [0, (1 << 64) - 1], np.uint64)
+        key = owners.of(h)
+        assert key.min() >= 0 and key.max() < owners.n
+        for o in np.unique(key):
+            assert (owners.whole(h[key == o] & jaccard._LOW, int(o)) == h[key == o]).all()
+    fp = np.array([(i << 48) + 7 for i in range(40) for _ in range(300)], np.int64)
+    token = np.array([(i << 48) + j for i in range(40) for j in range(300)], np.uint64)
+    batch = jaccard._pack(np.zeros(len(fp), np.int64), 3, fp, token)
+    ((key, held),) = jaccard._groups(iter([batch, batch]))
+    got = held.entries()
+    assert key == 0 and len(got[0]) == 24_000 and {*zip(got[0].tolist(), got[2].tolist())} == {*zip(fp.tolist(), token.tolist())}
+    whole, jaccard.GATHERED = jaccard.GATHERED, 10_000
+    try:  # repeated entries go on the way
+        ((_, held),) = jaccard._groups(iter([batch] * 5))
+        got = held.entries()
+        assert held.kept == 12_000 and {*zip(got[0].tolist(), got[2].tolist())} == {*zip(fp.tolist(), token.tolist())}
     finally:
-        jaccard.HEAP = heap
+        jaccard.GATHERED = whole
+
+
+def test_popular_sets_are_dealt_once(spark):
+    """A text of very many rows, some without an id, still links with its near copies."""
+    from corpusloom.llm import jaccard
+
+    rng = random.Random(7)
+    a, b = words(rng, 50), words(rng, 50)
+    docs = [(i, a) for i in range(400)] + [(None, b)] * 100 + [(900, a + " x"), (901, b + " x"), (902, words(rng, 50))]
+    out = jaccard.classes(spark.createDataFrame(docs, "doc_id long, text string").repartition(6)).collect()
+    assert {(r["id"], r["component_id"]) for r in out} == {*((i, 0) for i in range(400)), (900, 0), (None, 901), (901, 901), (902, 902)}
 
 
 def test_decontamination(spark, sf):
@@ -381,7 +441,9 @@ def test_pipeline(spark, sf):
         docs = out
     last = P.run(spark, sf[0]).collect()
     ids = {r["doc_id"] for r in last}
-    assert len(last) == len({(r["doc_id"], r["size"]) for r in last}) and 906 in ids and 901 in ids
+    worded = [(r["doc_id"], r["size"]) for r in last if r["size"]]
+    assert len(worded) == len({*worded}) and 906 in ids and 901 in ids
+    assert sum(r["doc_id"] == 900 for r in last) == 2  # wordless rows are copies of nothing: both stay
     assert not any(i in ids for i, _, _, _, _, bad in brute.decontaminated([x[:2] for x in sf[1]], sf[2]) if bad)
 
 
