@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import decontam, jaccard, mixing, pii, toxicity
+from corpusloom.llm.queries import pii_key
 from corpusloom.llm.tables import aside, shared_dir
 
 #: A document with at least this toxicity goes.
@@ -64,7 +65,7 @@ def replace_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Surrogates in the text; n_chars follows a text that has changed."""
     inner, names, back = aside(docs)
     text = names[docs.columns.index("text")]
-    rows = pii.replace(inner, text=text)
+    rows = pii.replace(inner, pii_key(spark), text=text)
     if "n_chars" in docs.columns:
         size = names[docs.columns.index("n_chars")]
         rows = rows.withColumn(size, F.when(F.size(pii.entities()) > 0, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col(size)))

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import hmac
 import re
 
+import regex
+
 SPACE_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ITEM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
@@ -84,3 +87,119 @@ def shares(sizes: dict, weight: dict, budget: float = 1.5, most: float = 2.0) ->
             left -= out[s]
         open_ -= full
     return out
+
+
+ALPHABETS = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ", "áéíóúàèìòùâêîôûäöü")
+
+
+def feistel(row: list[tuple[int, int]], key: str, kind: str) -> list[int]:
+    """Four rounds over the halves of (v, m): each adds to one half what the hash of the other one says."""
+    h = -(-len(row) // 2)
+    parts = [row[:h], row[h:]]
+    for number in range(4):
+        target, source = parts if number % 2 == 0 else parts[::-1]
+        seed = hashlib.sha256("|".join([key, kind, str(number), str(len(row)), ",".join(str(v) for v, _ in source)]).encode()).hexdigest()
+        stream = "".join(hashlib.sha256((seed + str(b)).encode()).hexdigest() for b in range(max(0, len(target) - 1) // 16 + 1))
+        parts[number % 2] = [((v + int(stream[4 * i : 4 * i + 4], 16)) % m, m) for i, (v, m) in enumerate(target)]
+    return [v for v, _ in parts[0] + parts[1]]
+
+
+def veiled(s: str, key: str, kind: str, alphabets=ALPHABETS) -> str:
+    of = [next(((a, a.index(c)) for a in alphabets if c in a), (None, 0)) for c in (x.lower() for x in s)]
+    new = feistel([(v, len(a) if a else 1) for a, v in of], key, kind)
+    return "".join(c if a is None else a[v].upper() if c != c.lower() else a[v] for c, (a, _), v in zip(s, of, new, strict=True))
+
+
+def bare(s: str) -> str:
+    return "".join(c for c in s if c.isalnum())
+
+
+def refilled(s: str, new: str) -> str:
+    it = iter(new)
+    return "".join(next(it) if c.isalnum() else c for c in s)
+
+
+def check_digit(digits: str) -> int:
+    total = sum(int(x) if k % 2 else sum(divmod(2 * int(x), 10)) for k, x in enumerate(reversed(digits)))
+    return -total % 10
+
+
+def mod97(s: str) -> int:
+    return int("".join(str(int(c, 36)) for c in s)) % 97
+
+
+def address(s: str, key: str) -> str:
+    o = [int(x) for x in s.split(".")]
+    special = {192: range(168, 169), 172: range(16, 32), 169: range(254, 255), 100: range(64, 128)}
+    public = [x for x in range(1, 224) if x not in (10, 127, *special)]
+    inside = special.get(o[0], range(0))
+    seconds = list(inside) if o[1] in inside else [x for x in range(256) if x not in inside]
+    firsts = public if o[0] in public else [o[0]]
+    new = feistel([(firsts.index(o[0]), len(firsts)), (seconds.index(o[1]), len(seconds)), (o[2], 256), (o[3], 256)], key, "ip")
+    return ".".join(map(str, (firsts[new[0]], seconds[new[1]], *new[2:])))
+
+
+def surrogate(s: str, kind: str, key: str, titles: dict, lists: list[tuple[str, tuple]]) -> str:
+    if kind == "key":
+        return s[:4] + veiled(s[4:], key, "key")
+    if kind == "secret":
+        front = regex.match(r"[A-Za-z_-]+[ \t]{0,3}[=:][ \t]{0,3}[\"']?", s)[0]
+        rest = s[len(front) :]
+        return front + (veiled(rest, key, "hex", ("0123456789abcdef",)) if regex.fullmatch("[0-9a-f]+", rest) else veiled(rest, key, "secret"))
+    if kind == "email":
+        local, domain = s.split("@")
+        host, top = domain.rsplit(".", 1)
+        return veiled(local, key, "email") + "@" + veiled(host, key, "domain") + "." + top
+    if kind == "ip":
+        return address(s, key)
+    if kind == "phone":
+        front = regex.match(r"\+[0-9]{1,3}(?=[ .(-])[ .-]?\(?[0-9]|\+?\(?[0-9]", s)[0]
+        return front + refilled(s[len(front) :], veiled(bare(s[len(front) :]), key, "phone"))
+    if kind == "iban":
+        b = bare(s)
+        account = veiled(b[4:], key, "iban")
+        return refilled(s, f"{b[:2]}{98 - mod97(account + b[:2] + '00'):02d}{account}")
+    if kind == "card":
+        b = bare(s)
+        head = b[0] + veiled(b[1:-1], key, "card")
+        return refilled(s, head + str(check_digit(head)))
+    if kind == "ssn":
+        return veiled(s, key, "ssn")
+    title = max((t for g in titles.values() for t in g if regex.match(regex.escape(t) + r"\.? ", s)), key=len)
+    lead = regex.match(regex.escape(title) + r"\.? ", s)[0]
+    sex, out = next(g for g in titles if title in titles[g]), []
+    for i, part in enumerate(regex.findall(r"[^ -]+[ -]?", s[len(lead) :])):
+        name = part.rstrip(" -")
+        known = next((x for g, x in lists if i == 0 and g == sex and name in x), None)
+        if known:
+            order = sorted(known, key=lambda x: hmac.new(key.encode(), x.encode(), hashlib.sha256).digest())
+            out.append(order[(order.index(name) + 1) % len(order)] + part[len(name) :])
+        else:
+            out.append(veiled(part, key, "name"))
+    return lead + "".join(out)
+
+
+def without_pii(text: str | None, key: str, forms: dict[str, str], titles: dict, lists: list[tuple[str, tuple]]) -> tuple[str | None, list[str]]:
+    """(text with surrogates, kinds): at each place the first form that matches, from left to right."""
+    if text is None:
+        return None, []
+    at, out, kinds = 0, [], []
+    each = {k: regex.compile(f) for k, f in forms.items()}
+    while at < len(text):
+        for kind, form in each.items():
+            if m := form.match(text, at):
+                s = m[0]
+                # the type is that of the string alone, and numbers without a valid check stay
+                kind = next(k for k, f in each.items() if f.fullmatch(s))
+                b = bare(s)
+                if (kind == "card" and check_digit(b[:-1]) != int(b[-1])) or (kind == "iban" and mod97(b[4:] + b[:4]) != 1):
+                    out.append(s)
+                else:
+                    out.append(surrogate(s, kind, key, titles, lists))
+                    kinds.append(kind)
+                at = m.end()
+                break
+        else:
+            out.append(text[at])
+            at += 1
+    return "".join(out), kinds
