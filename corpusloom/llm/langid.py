@@ -9,8 +9,8 @@ threshold are set on rows that training hasn't seen.
 
 Defined cases: null text, or text without a letter, gets ``und`` with score 1 (there
 is nothing to tell); a text of letters without a subword of a known kind gets the
-prior's best language; texts are used whole; repeated rows get equal results; an empty
-table gives no rows; without any language to learn all rows get ``und`` with score 0.
+prior's best language; texts are used whole; repeated rows get equal results and train once; an empty
+table gives no rows; more languages than the bound are an error; without any language to learn all rows get ``und`` with score 0.
 Columns other than the id, the text and (in training) the language aren't read.
 """
 
@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.llm.bytetext import LETTER, LOWER, Slice, slices
-from corpusloom.llm.learning import map_batches, shipped
+from corpusloom.llm.learning import distinct, map_batches, shipped, within
+from corpusloom.llm.tables import cut
 
 UNDETERMINED = "und"
 
@@ -36,9 +37,11 @@ class Settings:
     size: int = 16
     epochs: int = 6
     rate: float = 0.5
-    #: Bound of the training sample: about so many rows of each language (smallest hashes of the id), and so many languages.
+    #: Bounds of the training sample: about so many rows of each language (smallest hashes of id and text), and bytes of their features.
     rows_per_language: int = 1500
-    languages: int = 256
+    bytes: int = 512 << 20
+    #: More languages than this are an error, as the model that is broadcast has a column for each: raise it, or clean the labels.
+    languages: int = 2000
     #: Of right predictions on unseen rows, the share that the rejection threshold may refuse.
     refused: float = 0.005
     calibrate_every: int = 4
@@ -132,12 +135,15 @@ def train(docs: DataFrame, where=None, lang: str = "lang", cfg: Settings = Setti
     rows = docs.select(F.col("doc_id").alias("id"), F.col(lang).cast("string").alias("y"), F.col("text").cast("string").alias("text")).where("y is not null and id is not null")
     if where is not None:
         rows = rows.where(where(F.col("id")))
-    counts = rows.groupBy("y").count().orderBy(F.desc("count"), "y").limit(cfg.languages).collect()
+    counts = rows.groupBy("y").count().limit(cfg.languages + 1).collect()
     if not counts:
         return None
+    if len(counts) > cfg.languages:
+        raise ValueError(f"more than {cfg.languages} languages to learn")
     languages = sorted(r["y"] for r in counts)
-    rare = F.create_map(*(F.lit(x) for r in counts for x in (r["y"], min(1.0, cfg.rows_per_language / r["count"]))))
-    picked = rows.where((F.pmod(F.xxhash64("id", F.lit(cfg.seed)), F.lit(1 << 30)) < F.element_at(rare, F.col("y")) * (1 << 30)))
+    shares = rows.sparkSession.createDataFrame([(r["y"], min(1.0, cfg.rows_per_language / r["count"])) for r in counts], "y string, share double")
+    hashed = rows.withColumn("h", F.xxhash64("id", "text", F.lit(cfg.seed))).join(F.broadcast(shares), "y")
+    picked = hashed.where(F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30)).select("id", "h", "y", "text")
     bits = cfg.bits
 
     def make(b: pa.RecordBatch) -> list[pa.Array]:
@@ -151,10 +157,12 @@ def train(docs: DataFrame, where=None, lang: str = "lang", cfg: Settings = Setti
                 c = count[cut[i] : cut[i + 1]]
                 keys.append((both[cut[i] : cut[i + 1]] & ((1 << bits) - 1)).astype(np.uint32).tobytes())
                 shares.append((c / max(1, c.sum())).astype(np.float32).tobytes())
-        return [b.column("id"), b.column("y"), pa.array(keys, pa.binary()), pa.array(shares, pa.binary())]
+        return [b.column("key"), b.column("id"), b.column("h"), b.column("y"), pa.array(keys, pa.binary()), pa.array(shares, pa.binary())]
 
-    schema = T.StructType([T.StructField("id", picked.schema["id"].dataType), T.StructField("y", T.StringType()), T.StructField("k", T.BinaryType()), T.StructField("x", T.BinaryType())])
-    got = map_batches(picked, make, schema).limit(2 * cfg.rows_per_language * len(languages)).toArrow().sort_by([("id", "ascending"), ("y", "ascending")])
+    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("id", picked.schema["id"].dataType), T.StructField("h", T.LongType()), T.StructField("y", T.StringType()), T.StructField("k", T.BinaryType()), T.StructField("x", T.BinaryType())])
+    keyed = picked.select(F.xxhash64("h", "y").alias("key"), "id", "h", "y", "text")  # repeated rows count once
+    got = cut(distinct(map_batches(keyed, make, schema), "key"))
+    got = within(got, "key", F.octet_length("k") + F.octet_length("x"), cfg.bytes).toArrow().sort_by([("id", "ascending"), ("h", "ascending"), ("y", "ascending")])
     of = {x: i for i, x in enumerate(languages)}
     data = [(np.frombuffer(k.as_buffer(), np.uint32).astype(np.int64), np.frombuffer(x.as_buffer(), np.float32).astype(float)) for k, x in zip(got.column("k"), got.column("x"), strict=True)]
     y = np.array([of[x] for x in got.column("y").to_pylist()], np.int64)

@@ -3,7 +3,8 @@
 A model is fitted on the driver from at most ``rows_per_class`` labelled rows of
 each class, picked by a hash of the document id (the bound is a parameter and the
 pick doesn't depend on partitioning). Features are made on the executors by the
-same code that scores, and only the sample's features reach the driver.
+same code that scores, and only the sample's features reach the driver: those that fit into
+``bytes``, a parameter too.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,14 +80,23 @@ def platt(margin: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 60
     return float(np.clip(theta[0], 0.2, 5)), float(theta[1])
 
 
-def released() -> None:
-    """Give freed memory back to the system: a driver goes on long after it has fitted a model."""
-    import ctypes
-    import gc
+def distinct(features: DataFrame, key: str) -> DataFrame:
+    """One row for each key: of rows that share it, the one with the smallest h (a hash of the text), whatever their partitions."""
+    rest = [c for c in features.columns if c not in (key, "h")]
+    return features.groupBy(key).agg(F.min(F.struct("h", *rest)).alias("r")).select(key, *(f"r.{c}" for c in ("h", *rest)))
 
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
-    except (OSError, AttributeError):  # another C library: it keeps what it likes
-        pass
+
+def within(rows: DataFrame, key: str, size: Column, limit: int) -> DataFrame:
+    """Of a checkpointed sample, the rows that fit into ``limit`` bytes: smallest hashes of the key first, a row that doesn't fit any more is left out.
+
+    Only keys and sizes reach the driver, as many as the sample's bound in rows.
+    """
+    if (rows.agg(F.sum(size)).first()[0] or 0) <= limit:
+        return rows
+    order = rows.select(key, size.cast("long").alias("_size"), F.xxhash64(key).alias("_hash")).toArrow().sort_by([("_hash", "ascending"), ("_size", "ascending")])
+    left, kept = limit, []
+    for k, n in zip(order.column(key).to_pylist(), order.column("_size").to_pylist(), strict=True):
+        if n <= left:
+            left -= n
+            kept.append((k,))
+    return rows.join(F.broadcast(rows.sparkSession.createDataFrame(kept, rows.select(key).schema)), key, "left_semi")

@@ -13,7 +13,8 @@ repeated lines and of words per line.
 
 Defined cases: a null or empty text has no words and the lowest levels, and is scored
 like any other; a null metadata value is a level of its own and an absent metadata column
-counts as null; repeated rows get equal scores; an empty table gives no rows; without
+counts as null; repeated rows get equal scores; of a labelled id's different rows the one with
+the smallest hash of text and metadata trains; an empty table gives no rows; without
 labelled rows of both classes every score is the base rate. Other columns aren't read.
 """
 
@@ -28,7 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.llm.bytetext import NOT_SPACE, Slice, mix, slices, sums, unique_pairs, words
-from corpusloom.llm.learning import class_counts, labelled_sample, map_batches, platt, shipped, sigmoid
+from corpusloom.llm.learning import class_counts, distinct, labelled_sample, map_batches, platt, shipped, sigmoid, within
+from corpusloom.llm.tables import cut
 
 
 @dataclass(frozen=True)
@@ -39,8 +41,9 @@ class Settings:
     batch: int = 128
     rate: float = 0.08
     l2: float = 1e-4
-    #: Bound of the training sample: labelled rows of either class.
+    #: Bounds of the training sample: labelled rows of either class, and bytes of their features.
     rows_per_class: int = 4000
+    bytes: int = 256 << 20
     calibrate_every: int = 4
     seed: int = 29
 
@@ -175,8 +178,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", where=None
     if not all(counts):
         return flat
     sample = labelled_sample(labels, label, cfg.rows_per_class, where=where)
-    rows = _prepared(docs, ("doc_id",), "text", metadata).withColumnRenamed("doc_id", "id").join(F.broadcast(sample), "id")
     n, bits = len(metadata), cfg.bits
+    rows = _prepared(docs, ("doc_id",), "text", metadata).withColumnRenamed("doc_id", "id").withColumn("h", F.xxhash64("_text", *(f"_m{k}" for k in range(n)))).join(F.broadcast(sample), "id")
 
     def make(b: pa.RecordBatch) -> list[pa.Array]:
         keys, values, level = [], [], _padded(b, n)
@@ -188,10 +191,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", where=None
                 at = order[cut[i] : cut[i + 1]]
                 keys.append(key[at].astype(np.uint32).tobytes())
                 values.append(x[at].astype(np.float32).tobytes())
-        return [b.column("id"), b.column("y"), pa.array(keys, pa.binary()), pa.array(values, pa.binary())]
+        return [b.column("id"), b.column("h"), b.column("y"), pa.array(keys, pa.binary()), pa.array(values, pa.binary())]
 
-    schema = T.StructType([T.StructField("id", sample.schema["id"].dataType), T.StructField("y", T.IntegerType()), T.StructField("k", T.BinaryType()), T.StructField("x", T.BinaryType())])
-    got = map_batches(rows.select("id", "y", "_text", *(f"_m{k}" for k in range(n))), make, schema).dropDuplicates(["id"]).toArrow().sort_by("id")
+    schema = T.StructType([T.StructField("id", sample.schema["id"].dataType), T.StructField("h", T.LongType()), T.StructField("y", T.IntegerType()), T.StructField("k", T.BinaryType()), T.StructField("x", T.BinaryType())])
+    got = cut(distinct(map_batches(rows.select("id", "h", "y", "_text", *(f"_m{k}" for k in range(n))), make, schema), "id"))
+    got = within(got, "id", F.octet_length("k") + F.octet_length("x"), cfg.bytes).toArrow().sort_by("id")
     if not got.num_rows:
         return flat
     y = got.column("y").to_numpy().astype(float)

@@ -6,7 +6,8 @@ learner keeps the usual z and n per coordinate, so each has its own rate, and L1
 leaves most weights at exactly zero: what is broadcast is the list of non-zero ones.
 
 Defined cases: a null, empty or wordless text gets the score of the intercept
-alone; repeated rows get equal scores; any text is used whole; an empty table gives
+alone; repeated rows get equal scores; of a labelled id's different texts the one with the
+smallest hash trains; any text is used whole; an empty table gives
 no rows; without labelled rows of both classes every score is the base rate.
 Columns of the input other than the id and the text are not read.
 """
@@ -24,7 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.llm.bytetext import ALNUM, Slice, mix, slices, unique_pairs, words
-from corpusloom.llm.learning import class_counts, labelled_sample, map_batches, platt, released, shipped, sigmoid
+from corpusloom.llm.learning import class_counts, distinct, labelled_sample, map_batches, platt, shipped, sigmoid, within
+from corpusloom.llm.tables import cut
 
 
 @dataclass(frozen=True)
@@ -35,8 +37,9 @@ class Settings:
     l1: float = 4.0
     l2: float = 0.5
     epochs: int = 3
-    #: Bound of the training sample: labelled rows of either class.
+    #: Bounds of the training sample: labelled rows of either class, and bytes of their features.
     rows_per_class: int = 6000
+    bytes: int = 512 << 20
     seed: int = 17
     #: Every so many rows of the sample calibrate the score and don't train the model that they calibrate.
     calibrate_every: int = 4
@@ -92,10 +95,6 @@ class Shelf:
         return np.frombuffer(os.pread(self.file.fileno(), self.ends[i + 1] - self.ends[i], self.ends[i]), np.uint32)
 
 
-#: Partitions in which the sample comes to the driver, one after another.
-SHARDS = 16
-
-
 def fit(features: Shelf | list[np.ndarray], order: np.ndarray, y: np.ndarray, cfg: Settings, base_rate: float) -> Weights:
     """Fit on all rows, of which ``order`` says where their features are; slope and offset of the log odds come from rows that a first model hasn't seen."""
     last = np.arange(len(y)) % cfg.calibrate_every == 0
@@ -144,7 +143,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", where=None,
     if not all(counts):
         return Weights(cfg.bits, float(np.log(base / (1 - base))))
     sample = labelled_sample(labels, label, cfg.rows_per_class, where=where)
-    rows = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "id")
+    rows = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text")).withColumn("h", F.xxhash64("text")).join(F.broadcast(sample), "id")
     bits = cfg.bits
 
     def make(b: pa.RecordBatch) -> list[pa.Array]:
@@ -153,21 +152,19 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", where=None,
             doc, key = presence(s, bits)
             cut = np.searchsorted(doc, np.arange(len(s) + 1))
             out += [key[cut[i] : cut[i + 1]].astype(np.uint32).tobytes() for i in range(len(s))]
-        return [b.column("id"), b.column("y"), pa.array(out, pa.binary())]
+        return [b.column("id"), b.column("h"), b.column("y"), pa.array(out, pa.binary())]
 
-    got = map_batches(rows.select("id", "y", "text"), make, T.StructType([T.StructField("id", sample.schema["id"].dataType), T.StructField("y", T.IntegerType()), T.StructField("f", T.BinaryType())]))
+    schema = T.StructType([T.StructField("id", sample.schema["id"].dataType), T.StructField("h", T.LongType()), T.StructField("y", T.IntegerType()), T.StructField("f", T.BinaryType())])
+    got = cut(distinct(map_batches(rows.select("id", "h", "y", "text"), make, schema), "id"))
     shelf, ids, y = Shelf(), [], []
-    for r in got.repartition(SHARDS, "id").dropDuplicates(["id"]).toLocalIterator():
+    for r in within(got, "id", F.octet_length("f"), cfg.bytes).select("id", "y", "f").toLocalIterator():
         shelf.add(r["f"])
         ids.append(r["id"])
         y.append(r["y"])
     if not ids:
         return Weights(cfg.bits, float(np.log(base / (1 - base))))
     order = np.array(sorted(range(len(ids)), key=ids.__getitem__))
-    weights = fit(shelf, order, np.array(y, float)[order], cfg, base)
-    del shelf
-    released()
-    return weights
+    return fit(shelf, order, np.array(y, float)[order], cfg, base)
 
 
 def score(docs: DataFrame, weights: Weights, columns: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:

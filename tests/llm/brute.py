@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import math
 import re
 
 import regex
@@ -203,3 +204,41 @@ def without_pii(text: str | None, key: str, forms: dict[str, str], titles: dict,
             out.append(text[at])
             at += 1
     return "".join(out), kinds
+
+
+def pair_sum(intercept: float, w: list[float], v: list[list[float]], x: list[float]) -> float:
+    """A factorisation machine's margin with every pair of features written out."""
+    out = intercept + sum(a * b for a, b in zip(w, x, strict=True))
+    for i in range(len(x)):
+        for j in range(i):
+            out += sum(a * b for a, b in zip(v[i], v[j], strict=True)) * x[i] * x[j]
+    return out
+
+
+def ftrl(rows: list[list[int]], y: list[int], alpha: float, beta: float, l1: float, l2: float, order: list[list[int]]) -> tuple[dict[int, float], float]:
+    """FTRL-proximal one coordinate at a time: (non-zero weights, intercept); the intercept, coordinate -1, has no L1."""
+    z: dict[int, float] = {}
+    n: dict[int, float] = {}
+
+    def weight(i: int) -> float:
+        bound = 0.0 if i < 0 else l1
+        a = z.get(i, 0.0)
+        if abs(a) <= bound:
+            return 0.0
+        return -(a - (bound if a > 0 else -bound)) / ((beta + n.get(i, 0.0) ** 0.5) / alpha + l2)
+
+    for epoch in order:
+        for r in epoch:
+            w = {i: weight(i) for i in (*rows[r], -1)}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - y[r]
+            for i, wi in w.items():
+                sigma = ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / alpha
+                z[i] = z.get(i, 0.0) + g - sigma * wi
+                n[i] = n.get(i, 0.0) + g * g
+    return {i: w for i in z if i >= 0 and (w := weight(i))}, weight(-1)
+
+
+def subwords(text: str) -> list[bytes]:
+    """The 3- and 4-byte windows of the lower-cased words with a blank before and after; no window has a blank inside."""
+    plain = bytes(b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in (text or "").encode())
+    return [w for k in (3, 4) for i in range(len(plain) - k + 1) if b" " not in (w := plain[i : i + k])[1:-1]]

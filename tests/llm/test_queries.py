@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import random
 import sys
 import zlib
@@ -99,6 +100,93 @@ def test_classifiers(spark, sf, name, label, modulus, held, threshold):
     assert rows and by_text(rows) == by_text(got(spark, sf, name, "doc_id", "held_out", "score", "predicted"))  # reruns agree
 
 
+def test_factorisation_machine(spark, sf):
+    """The sum-of-squares identity gives what all pairs written out give: on random machines, and for the scores of the query."""
+    from corpusloom.llm import quality
+    from corpusloom.llm.bytetext import slices
+    from corpusloom.llm.learning import remainder
+    import pyarrow as pa
+
+    np = quality.np
+    rng = np.random.default_rng(4)
+    m = quality.Machine(4, 0.3, rng.normal(size=16), rng.normal(size=(16, 5)))
+    keys, x = [rng.permutation(16)[:n] for n in (0, 1, 2, 16)], rng.normal(size=19)
+    z = quality.margins(m, np.repeat(np.arange(4), [0, 1, 2, 16]), np.concatenate(keys), x, 4)
+    at = 0
+    for k, got_z in zip(keys, z, strict=True):
+        assert abs(got_z - brute.pair_sum(0.3, m.linear[k].tolist(), m.pairs[k].tolist(), x[at : at + len(k)].tolist())) < 1e-9
+        at += len(k)
+    docs, labels = (spark.read.parquet(f"{sf[0]}/{t}.parquet") for t in ("documents", "labels"))
+    m = quality.train(docs, labels, where=lambda i: remainder(i, 5) != 0)
+    score = {(i, s) for i, s in got(spark, sf, "op1_quality_fm", "doc_id", "score")}
+    for i, t, _, _, n_chars in [r for r in sf[1] if r[0] is not None and r[0] not in (904, 905)]:
+        level = np.array([[0 if n_chars is None else 1 + min(math.log2(1 + n_chars), quality.LEVELS - 2), 0, 0, 0]]).astype(np.int64)
+        (s,) = slices(pa.array([t or ""]))
+        _, key, x = quality.features(s, m.bits, level)
+        z = brute.pair_sum(m.intercept, m.linear[key].tolist(), m.pairs[key].tolist(), x.tolist())
+        want = 1 / (1 + math.exp(-(m.slope * min(max(z, -12), 12) + m.offset)))
+        assert any(j == i and abs(want - s) < 1e-5 for j, s in score), i
+
+
+def test_ftrl():
+    """The learner's weights are those of a plain loop over coordinates; L1 leaves many at zero."""
+    from corpusloom.llm import toxicity
+
+    np, rng = toxicity.np, random.Random(5)
+    rows = [sorted(rng.sample(range(64), rng.randrange(0, 12))) for _ in range(150)]
+    y = [int(any(k < 4 for k in r)) for r in rows]
+    cfg = toxicity.Settings(bits=6, l1=3.0)
+    got = toxicity._ftrl([np.array(r, np.uint32) for r in rows], np.arange(150), np.array(y, float), cfg, 0.2)
+    g = np.random.default_rng(cfg.seed)
+    want, intercept = brute.ftrl(rows, y, cfg.alpha, cfg.beta, cfg.l1, cfg.l2, [g.permutation(150).tolist() for _ in range(cfg.epochs)])
+    share = sum(y) / 150
+    assert got.index.tolist() == sorted(want) and 4 <= len(want) < 40
+    assert np.allclose(got.value, [want[i] for i in sorted(want)], atol=1e-6)
+    assert abs(got.intercept - (intercept + math.log(0.25) - math.log(share / (1 - share)))) < 1e-9
+
+
+def test_toxicity_features():
+    """Words, pairs and pairs with one word between, lower-cased, each once; never across texts."""
+    from corpusloom.llm import toxicity
+    from corpusloom.llm.bytetext import slices
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    texts = ["", "One", "one two", "A b! a B a", "été été"] + [words(rng, rng.randrange(40), "ab") for _ in range(30)]
+    (s,) = slices(pa.array(texts))
+    doc, key = toxicity.presence(s, 40)
+    sets = [{*key[doc == i].tolist()} for i in range(len(texts))]
+    for t, found in zip(texts, sets, strict=True):
+        w = [x for x in "".join(c.lower() if c.isalnum() else " " for c in t).split()]
+        assert len(found) == len({*((x,) for x in w), *((1, *p) for p in zip(w, w[1:], strict=False)), *((2, *p) for p in zip(w, w[2:], strict=False))})
+    assert sets[3] == {*toxicity.presence(next(slices(pa.array(["a B A b a"]))), 40)[1].tolist()}
+
+
+def test_repeated_ids_train_alike(spark):
+    """Of a labelled id's different texts the same one trains, however the rows lie."""
+    from corpusloom.llm import langid, quality, toxicity
+
+    rng = random.Random(12)
+    rows = [(i % 60, words(rng, 30, "abcd" if i % 2 else "abef"), 5, "xy"[i % 2]) for i in range(240)]
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(60)], "doc_id long, toxic int, quality int")
+    made = []
+    for parts, order in ((1, rows), (7, rows[::-1]), (3, rows + rows[:50])):
+        docs = spark.createDataFrame(order, "doc_id long, text string, n_chars long, lang string").repartition(parts)
+        t, q, g = toxicity.train(docs, labels), quality.train(docs, labels), langid.train(docs)
+        made.append((t.index.tolist(), t.value.tolist(), t.intercept, q.intercept, q.linear.sum(), q.slope, g.logits.sum(), g.temperature))
+    assert made[0] == made[1] and made[0][:6] == made[2][:6]
+
+
+def test_samples_stay_within_their_bytes(spark):
+    from corpusloom.llm import learning
+
+    rows = spark.createDataFrame([(i, b"x" * (10 if i else 10_000)) for i in range(100)], "id long, f binary").repartition(5)
+    size = F.octet_length("f")
+    assert learning.within(rows, "id", size, 10**6).count() == 100
+    kept = [sorted(r["id"] for r in learning.within(rows.repartition(n), "id", size, 305).collect()) for n in (1, 4)]
+    assert kept[0] == kept[1] and len(kept[0]) == 30 and 0 not in kept[0]
+
+
 def test_toxicity_trains_on_6000_rows_a_class(spark, monkeypatch):
     """More labelled rows of a class than the former bound all reach the learner, with their own features and in the order of their ids."""
     from corpusloom.llm import toxicity
@@ -257,6 +345,33 @@ def test_language(spark, sf):
         assert (lang == "und") == (not any(c.isalpha() for c in text[i] or "")) and lang in ("und", "en", "fr")
 
 
+def test_language_forward_pass(spark, sf):
+    """Predictions are the softmax of the mean logits of a text's subwords; too many languages are refused."""
+    from corpusloom.llm import langid
+    from corpusloom.llm.learning import remainder
+
+    np = langid.np
+    docs = spark.read.parquet(f"{sf[0]}/documents.parquet")
+    m = langid.train(docs, where=lambda i: remainder(i, 4) != 2)
+
+    def bucket(w: bytes) -> int:
+        code = (int.from_bytes(w, "big") + len(w)) * 2654435761 % 2**32
+        return ((code ^ code >> 15) * 2246822519 % 2**32) >> (32 - m.bits)
+
+    rows = {(r[0], r[1], round(r[2], 5)) for r in got(spark, sf, "op6_language_id", "doc_id", "lang_pred", "score")}
+    for i, t, *_ in [r for r in sf[1] if r[0] is not None and r[0] not in (904, 905)]:
+        if not any(c.isalpha() for c in t or ""):
+            assert (i, "und", 1.0) in rows
+            continue
+        at = [bucket(w) for w in brute.subwords(t)]
+        z = (m.logits[at].astype(float).mean(0) if at else np.zeros(len(m.languages))) + m.bias
+        p = np.exp(z / m.temperature - (z / m.temperature).max())
+        p /= p.sum()
+        assert any(j == i and lang == m.languages[p.argmax()] and abs(s - p.max()) < 1e-4 for j, lang, s in rows), i
+    with pytest.raises(ValueError):
+        langid.train(docs, cfg=langid.Settings(languages=1))
+
+
 def test_languages_are_told_apart(spark):
     from corpusloom.llm import langid
 
