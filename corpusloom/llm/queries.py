@@ -89,8 +89,8 @@ def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = warc.archive(table(spark, sf_dir, "pages"))
-    return warc.read(spark, at).select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+    pages = table(spark, sf_dir, "pages")
+    return warc.read(spark, warc.archive(pages), pages).select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def _hex(i: int):

@@ -31,8 +31,8 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def keyed(rows: DataFrame, facts: DataFrame, key: str | list[str], total: int) -> DataFrame:
-    """``rows`` joined with the one row of ``facts`` for their key, whose column _n (dropped) says how many of ``total`` rows have it.
+def keyed(rows: DataFrame, facts: DataFrame, key: str | list[str], total: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined (inner or left) with the one row of ``facts`` for their key, whose column _n (dropped) says how many of ``total`` rows have it.
 
     A key of more than a 2,000th of the rows gets its facts by a broadcast of at most 2,000 rows, wherever its
     rows are; only the other keys are shuffled. So no task gathers the rows of a hot key.
@@ -41,7 +41,7 @@ def keyed(rows: DataFrame, facts: DataFrame, key: str | list[str], total: int) -
     most = max(200, total // 2000)
     hot, cool = facts.where(F.col("_n") > most).drop("_n"), facts.where(F.col("_n") <= most).drop("_n")
     near = rows.join(F.broadcast(hot), key)
-    return near.unionByName(rows.join(F.broadcast(hot.select(*key)), key, "left_anti").join(cool, key))
+    return near.unionByName(rows.join(F.broadcast(hot.select(*key)), key, "left_anti").join(cool, key, how))
 
 
 def aside(docs: DataFrame) -> tuple[DataFrame, tuple[str, ...], Callable[[DataFrame], DataFrame]]:

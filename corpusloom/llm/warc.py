@@ -8,16 +8,20 @@ once the file is closed, so files of lost or repeated tasks are never referred t
 ``index`` sorts the records by reversed-host URL key and capture, writes each range
 partition's lines as gzip blocks of ``block_lines`` lines into one file, and keeps of each block
 its first key, place and length: the sparse directory, one small file a partition. A
-manifest names the partitions' first keys. ``lookup`` binary-searches the manifest, the
-directory and the block, then reads the record's range; ``read`` walks all blocks and reads
-the archives in coalesced ranges, so every page comes back through the index.
+manifest names the partitions' first and last keys. ``captures`` finds keys by binary searches in the manifest, then,
+partition by partition, in its directory and in the one or few blocks that can have the key; ``payloads`` reads
+the found ranges of the archives, neighbouring ones at once. ``read`` and ``lookup`` are the two
+in turn, for the keys of all pages or of some URLs.
 
+A payload that many pages share is told of by a broadcast (see ``keyed``), so its pages stay where
+they are; the captures of one key are found in as many tasks as partitions hold them.
 Files go through pyarrow's file systems, under the shared folder of the cluster.
 
 Defined cases: a null html is an empty payload; equal payloads of at least
-``least_bytes`` bytes share one response (equal ids among them: the first of the rows);
-null URLs have the empty key; null ids come last among equal payloads; repeated rows are
-records of their own; an empty table makes an empty index; other columns aren't read.
+``least_bytes`` bytes share one response (smallest id, then smallest URL); null URLs have the
+empty key and come last among equal ids; null ids come last among equal payloads; repeated rows are
+records of their own, the first a response if any is; tabs and line ends in keys are blanks;
+an empty table makes an empty index; other columns aren't read.
 """
 
 from __future__ import annotations
@@ -37,12 +41,14 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.tables import cut, shared_dir
+from corpusloom.llm.tables import cut, keyed, shared_dir
 
 BLOCK_LINES = 3000
 ARCHIVE_BYTES = 512 << 20
 #: Ranges of one archive nearer than this are read as one; at most READ_BYTES at once.
 GAP_BYTES, READ_BYTES = 64 << 10, 8 << 20
+#: Revisits of rows that are equal in everything, written by one row of a task.
+RUN = 10_000
 LEVEL = 4
 DATE = "2024-01-01T00:00:00Z"
 _RECORDS = "id long, url string, key string, file string, offset long, length long"
@@ -65,6 +71,11 @@ def surt(url: str | None) -> str:
     return ",".join(reversed(host.split("."))) + port + ")" + (m[3] if m[3].startswith("/") else "/" + m[3]).lower()
 
 
+def key_of(url: str | None) -> str:
+    """The key under which the index has a URL."""
+    return re.sub(r"[\t\n\r]", " ", surt(url))
+
+
 def _opened(root: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(root if re.match(r"^[a-z0-9]+:", root) else f"file://{root}")
 
@@ -73,8 +84,8 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id, url: str | None, payload: bytes, twin: bool = False, refers_to=None) -> bytes:
-    """The bytes of one record: a response, or for a ``twin`` a revisit of the page ``refers_to``."""
+def record(page_id, url: str | None, payload: bytes, sha: str, size: int, twin: bool = False, refers_to=None) -> bytes:
+    """The bytes of one record: a response, or for a ``twin`` a revisit of the page ``refers_to`` (its payload isn't needed). ``sha`` is hexadecimal."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
     body = http if twin else http + payload
     head = {
@@ -82,11 +93,11 @@ def record(page_id, url: str | None, payload: bytes, twin: bool = False, refers_
         "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}|{url}')}>",
         "WARC-Date": DATE,
         "WARC-Target-URI": re.sub(r"[\r\n]", "", url or ""),
-        "WARC-Payload-Digest": f"sha1:{digest(payload)}",
+        "WARC-Payload-Digest": f"sha1:{base64.b32encode(bytes.fromhex(sha)).decode()}",
         "Content-Type": "application/http; msgtype=response",
         "Content-Length": len(body),
         "WARC-Page-ID": "" if page_id is None else page_id,
-        "WARC-Payload-Length": len(payload),
+        "WARC-Payload-Length": size,
     }
     if twin:
         head |= {"WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "WARC-Refers-To-Page-ID": "" if refers_to is None else refers_to}
@@ -105,23 +116,36 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
     return fields, body.partition(b"\r\n\r\n")[2]
 
 
+def roles(pages: DataFrame, least_bytes: int, id_col: str, url: str, html: str) -> DataFrame:
+    """(id, url, body, sha, bytes, twin, first): a response with its body, or for a ``twin`` the id of the response, without a body."""
+    rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(html).cast("string"), F.lit("")).cast("binary").alias("body"))
+    rows = rows.withColumn("sha", F.sha1("body")).withColumn("bytes", F.octet_length("body"))
+    each = cut(rows.where(F.col("bytes") >= least_bytes).groupBy("sha", "id", "url").agg(F.count(F.lit(1)).alias("copies")))
+    total = each.agg(F.sum("copies")).first()[0] or 0
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", F.col("url").isNull().alias("no_url"), "url", "copies")
+    first = each.groupBy("sha").agg(F.min(order).alias("f"), F.sum("copies").alias("_n")).where("_n > 1").select("sha", "f", "_n")
+    told = keyed(rows, first, "sha", total, "left").withColumn("equal", F.col("f").isNotNull() & (F.col("bytes") >= least_bytes))
+    is_first = F.col("id").eqNullSafe(F.col("f.id")) & F.col("url").eqNullSafe(F.col("f.url"))
+    again = F.col("equal") & is_first & (F.col("f.copies") > 1)
+    named = lambda df, twin: df.select("id", "url", F.when(~twin, F.col("body")).alias("body"), "sha", "bytes", twin.alias("twin"), F.when(twin, F.col("first")).alias("first"))
+    told = told.withColumn("first", F.col("f.id"))
+    out = named(told.where(~again), F.col("equal") & ~is_first)
+    if first.where("f.copies > 1").isEmpty():
+        return out
+    # rows that are equal in everything: one of them is the response, the others are counted and written from the count
+    one = told.where(again).groupBy("sha", "id", "url").agg(F.first("body").alias("body"), F.first("bytes").alias("bytes"), F.first("first").alias("first"), F.count(F.lit(1)).alias("copies"))
+    runs = one.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / RUN))))
+    runs = runs.withColumn("body", F.when(F.col("run") == 0, F.col("body"))).repartition("sha", "run")
+    ks = F.sequence(F.col("run") * RUN, F.least(F.col("run") * RUN + RUN, F.col("copies")) - 1)
+    return out.unionByName(named(runs.withColumn("k", F.explode(ks)), F.col("k") > 0))
+
+
 def write(pages: DataFrame, root: str, least_bytes: int = 0, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Write the archives; the checkpointed records (id, url, key, file, offset, length)."""
-    rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(html).cast("string"), F.lit("")).cast("binary").alias("body"))
-    rows = rows.withColumn("sha", F.sha1("body"))
-    small = rows.select("id", "sha", F.octet_length("body").alias("bytes")).where(F.col("bytes") >= least_bytes)
-    each = cut(small.groupBy("sha", "id").agg(F.count(F.lit(1)).alias("copies")))
-    first = each.groupBy("sha").agg(F.min(F.struct(F.col("id").isNull(), "id"))["id"].alias("first"), F.sum("copies").alias("n")).where("n > 1").drop("n")
-    again = each.join(first, "sha").select(F.col("sha").alias("_sha"), F.col("id").alias("_id"), "first", "copies", F.lit(True).alias("equal"))
-    told = rows.join(again, (F.col("sha") == F.col("_sha")) & F.col("id").eqNullSafe(F.col("_id")), "left").drop("_sha", "_id")
-    tied = F.col("equal") & F.col("id").eqNullSafe(F.col("first")) & (F.col("copies") > 1)
-    if not again.where(F.col("_id").eqNullSafe(F.col("first")) & (F.col("copies") > 1)).isEmpty():  # repeated rows: one of them is the response
-        tied = F.coalesce(tied, F.lit(False))
-        told = told.where(~tied).unionByName(told.where(tied).repartition("sha"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, path = _opened(root)
-        out, name, place, done, seen = None, "", 0, [], set()
+        out, name, place, done = None, "", 0, []
 
         def flush() -> pa.RecordBatch:
             out.close()
@@ -130,16 +154,13 @@ def write(pages: DataFrame, root: str, least_bytes: int = 0, id_col: str = "page
             return got
 
         for b in batches:
-            for i, u, body, sha, first_id, equal in zip(*(b.column(c).to_pylist() for c in ("id", "url", "body", "sha", "first", "equal")), strict=True):
+            for i, u, body, sha, size, twin, first in zip(*(b.column(c).to_pylist() for c in ("id", "url", "body", "sha", "bytes", "twin", "first")), strict=True):
                 if out is None:
                     name, place = f"{uuid.uuid4().hex}.warc.gz", 0
                     out = system.open_output_stream(f"{path}/{name}", compression=None)
-                twin = bool(equal) and (i != first_id or sha in seen)
-                if equal and i == first_id:
-                    seen.add(sha)  # the rows of one id and payload that are tied are in one partition
-                data = gzip.compress(record(i, u, body, twin, first_id), LEVEL, mtime=0)
+                data = gzip.compress(record(i, u, body, sha, size, twin, first), LEVEL, mtime=0)
                 out.write(data)
-                done.append({"id": i, "url": u, "key": surt(u), "file": name, "offset": place, "length": len(data)})
+                done.append({"id": i, "url": u, "key": key_of(u), "file": name, "offset": place, "length": len(data)})
                 place += len(data)
                 if place >= ARCHIVE_BYTES:
                     yield flush()
@@ -149,7 +170,7 @@ def write(pages: DataFrame, root: str, least_bytes: int = 0, id_col: str = "page
 
     system, path = _opened(root)
     system.create_dir(path, recursive=True)
-    return cut(told.select("id", "url", "body", "sha", "first", "equal").mapInArrow(run, _RECORDS))
+    return cut(roles(pages, least_bytes, id_col, url, html).mapInArrow(run, _RECORDS))
 
 
 def index(records: DataFrame, root: str, block_lines: int = BLOCK_LINES, parts: int | None = None) -> Index:
@@ -159,7 +180,7 @@ def index(records: DataFrame, root: str, block_lines: int = BLOCK_LINES, parts:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, path = _opened(root)
-        name, place, directory, lines, out = uuid.uuid4().hex, 0, [], [], None
+        name, place, directory, lines, out, key = uuid.uuid4().hex, 0, [], [], None, ""
 
         def block() -> None:
             nonlocal place, out
@@ -173,7 +194,7 @@ def index(records: DataFrame, root: str, block_lines: int = BLOCK_LINES, parts:
 
         for b in batches:
             for key, i, file, offset, length in zip(*(b.column(c).to_pylist() for c in (*order, "length")), strict=True):
-                lines.append(re.sub(r"[\t\n\r]", " ", key) + "\t" + json.dumps([i, file, offset, length]) + "\n")
+                lines.append(key + "\t" + json.dumps([i, file, offset, length]) + "\n")
                 if len(lines) == block_lines:
                     block()
         if lines:
@@ -182,9 +203,9 @@ def index(records: DataFrame, root: str, block_lines: int = BLOCK_LINES, parts:
             out.close()
             with system.open_output_stream(f"{path}/{name}.idx", compression=None) as f:
                 f.write(json.dumps(directory).encode())
-            yield pa.RecordBatch.from_pydict({"first": [directory[0][0]], "part": [name], "blocks": [len(directory)], "records": [sum(d[3] for d in directory)]})
+            yield pa.RecordBatch.from_pydict({"first": [directory[0][0]], "last": [key], "part": [name], "blocks": [len(directory)], "records": [sum(d[3] for d in directory)]})
 
-    made = records.repartitionByRange(n, *order).sortWithinPartitions(*order).select(*order, "length").mapInArrow(run, "first string, part string, blocks long, records long")
+    made = records.repartitionByRange(n, *order).sortWithinPartitions(*order).select(*order, "length").mapInArrow(run, "first string, last string, part string, blocks long, records long")
     made.write.mode("overwrite").parquet(f"{root}/parts.parquet")
     return Index(root)
 
@@ -201,87 +222,118 @@ def _block(f, entry: list) -> list[tuple[str, list]]:
     return [(k, json.loads(v)) for k, v in (x.split("\t", 1) for x in text.split("\n")[:-1])]
 
 
-def lookup(spark, at: Index, urls: DataFrame, url: str = "url") -> DataFrame:
-    """(url, id, payload, record_type) of every capture of each URL: three binary searches and range reads."""
-    manifest = sorted((r["first"], r["part"]) for r in spark.read.parquet(f"{at.root}/parts.parquet").select("first", "part").collect())  # one entry a partition of the index
-    held, root = spark.sparkContext.broadcast(manifest), at.root
+def _keys(urls: DataFrame, url: str) -> DataFrame:
+    """(url, key) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, path = _opened(root)
-        firsts = [x[0] for x in held.value]
         for b in batches:
-            got = {"url": [], "id": [], "payload": [], "record_type": []}
-            for u in b.column(0).to_pylist():
-                key = re.sub(r"[\t\n\r]", " ", surt(u))
-                for p in range(max(0, bisect.bisect_left(firsts, key) - 1), bisect.bisect_right(firsts, key)):
-                    directory = _directory(system, path, held.value[p][1])
-                    keys = [d[0] for d in directory]
-                    with system.open_input_file(f"{path}/{held.value[p][1]}.cdx.gz") as f:
-                        for e in directory[max(0, bisect.bisect_left(keys, key) - 1) : bisect.bisect_right(keys, key)]:
-                            lines = _block(f, e)
-                            lo = bisect.bisect_left([k for k, _ in lines], key)
-                            while lo < len(lines) and lines[lo][0] == key:
-                                i, file, offset, length = lines[lo][1]
-                                with system.open_input_file(f"{path}/{file}") as w:
-                                    w.seek(offset)
-                                    head, payload = parse(gzip.decompress(w.read(length)))
-                                for c, v in zip(got, (u, i, payload, head["WARC-Type"]), strict=True):
-                                    got[c].append(v)
-                                lo += 1
-            yield pa.RecordBatch.from_pydict(got, schema=pa.schema([("url", pa.string()), ("id", pa.int64()), ("payload", pa.binary()), ("record_type", pa.string())]))
-
-    return urls.select(F.col(url).cast("string").alias("url")).where("url is not null").distinct().mapInArrow(run, "url string, id long, payload binary, record_type string")
-
-
-def read(spark, at: Index) -> DataFrame:
-    """Every record by way of the index: (id, payload_bytes, payload_digest, record_type, refers_to, payload)."""
-    root = at.root
+            given = b.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([key_of(u) for u in given], pa.string())], ["url", "key"])
+
+    return urls.select(F.col(url).cast("string").alias("url")).mapInArrow(run, "url string, key string")
+
+
+def captures(spark, at: Index, keys: DataFrame) -> DataFrame:
+    """(key, id, file, offset, length) of every capture of each of the distinct ``keys``, by binary searches in manifest, directories and blocks."""
+    parts = sorted(tuple(r) for r in spark.read.parquet(f"{at.root}/parts.parquet").select("first", "last", "part").collect())  # one entry a partition of the index
+    held, root = spark.sparkContext.broadcast(parts), at.root
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        firsts, lasts = [x[0] for x in held.value], [x[1] for x in held.value]
+        for b in batches:
+            given = b.column(0).to_pylist()
+            spans = [range(bisect.bisect_left(lasts, k), bisect.bisect_right(firsts, k)) for k in given]
+            yield pa.RecordBatch.from_arrays([pa.array([p for s in spans for p in s], pa.int32()), pa.array([k for k, s in zip(given, spans, strict=True) for _ in s], pa.string())], ["part", "key"])
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, path = _opened(root)
+        part, block, f, directory, firsts, lines, names = None, None, None, [], [], [], []
         for b in batches:
-            for part in b.column("part").to_pylist():
-                with system.open_input_file(f"{path}/{part}.cdx.gz") as f:
-                    for e in _directory(system, path, part):
-                        lines = [v for _, v in _block(f, e)]
-                        yield pa.RecordBatch.from_pydict({c: [x[j] for x in lines] for j, c in enumerate(("id", "file", "offset", "length"))}, schema=pa.schema([("id", pa.int64()), ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64())]))
+            got = []
+            for p, key in zip(b.column("part").to_pylist(), b.column("key").to_pylist(), strict=True):
+                if p != part:  # sorted: each directory is read once
+                    part, block = p, None
+                    if f is not None:
+                        f.close()
+                    f = system.open_input_file(f"{path}/{held.value[p][2]}.cdx.gz")
+                    directory = _directory(system, path, held.value[p][2])
+                    firsts = [d[0] for d in directory]
+                for e in range(max(0, bisect.bisect_left(firsts, key) - 1), bisect.bisect_right(firsts, key)):
+                    if e != block:
+                        block, lines = e, _block(f, directory[e])
+                        names = [k for k, _ in lines]
+                    for i in range(bisect.bisect_left(names, key), bisect.bisect_right(names, key)):
+                        got.append((key, *lines[i][1]))
+                    if len(got) >= BLOCK_LINES:
+                        yield _batch(got)
+                        got = []
+            if got:
+                yield _batch(got)
+        if f is not None:
+            f.close()
+
+    wanted = keys.mapInArrow(placed, "part int, key string").repartition(n, "part").sortWithinPartitions("part", "key")
+    return wanted.mapInArrow(found, "key string, id long, file string, offset long, length long")
+
+
+_CAPTURE = pa.schema([("key", pa.string()), ("id", pa.int64()), ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64())])
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), _CAPTURE, strict=True)], schema=_CAPTURE)
+
+
+def payloads(spark, at: Index, found: DataFrame) -> DataFrame:
+    """Captures read by their ranges: (key, id, payload_bytes, payload_digest, record_type, refers_to, payload)."""
+    root = at.root
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, path = _opened(root)
-        kept = pa.schema([("id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
+        kept = pa.schema([("key", pa.string()), ("id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
         for file, run in _runs(batches):
             with system.open_input_file(f"{path}/{file}") as f:
                 start = run[0][0]
                 f.seek(start)
                 data = f.read(run[-1][0] + run[-1][1] - start)
             out = []
-            for offset, length in run:
+            for offset, length, key in run:
                 head, payload = parse(gzip.decompress(data[offset - start : offset - start + length]))
                 name, kind = head["WARC-Page-ID"], head["WARC-Type"]
                 want = head["WARC-Payload-Digest"].removeprefix("sha1:")
                 if kind == "response" and digest(payload) != want:
                     raise ValueError(f"record at {offset} of {file} is damaged")
                 to = head.get("WARC-Refers-To-Page-ID")
-                out.append({"id": int(name) if name else None, "payload_bytes": int(head["WARC-Payload-Length"]), "payload_digest": want, "record_type": kind, "refers_to": int(to) if to else None, "payload": payload if kind == "response" else None})
+                out.append({"key": key, "id": int(name) if name else None, "payload_bytes": int(head["WARC-Payload-Length"]), "payload_digest": want, "record_type": kind, "refers_to": int(to) if to else None, "payload": payload if kind == "response" else None})
             yield pa.RecordBatch.from_pylist(out, schema=kept)
 
-    lines = spark.read.parquet(f"{root}/parts.parquet").select("part").repartition(n).mapInArrow(blocks, "id long, file string, offset long, length long")
     spread = F.floor(F.col("offset") / (4 * READ_BYTES))
-    lines = lines.repartition(n, "file", spread).sortWithinPartitions("file", "offset")
-    return lines.mapInArrow(ranges, "id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
+    lines = found.repartition(n, "file", spread).sortWithinPartitions("file", "offset")
+    return lines.mapInArrow(ranges, "key string, id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
+
+
+def read(spark, at: Index, pages: DataFrame, url: str = "url") -> DataFrame:
+    """Every record of the URLs of ``pages``, by way of the index."""
+    return payloads(spark, at, captures(spark, at, _keys(pages, url).select("key").distinct()))
+
+
+def lookup(spark, at: Index, urls: DataFrame, url: str = "url") -> DataFrame:
+    """(url, id, payload, record_type) of every capture of each URL."""
+    asked = _keys(urls.where(F.col(url).isNotNull()).select(url).distinct(), url)
+    return asked.join(payloads(spark, at, captures(spark, at, asked.select("key").distinct())), "key").select("url", "id", "payload", "record_type")
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[tuple[int, int]]]]:
-    """Neighbouring records of an archive, as ranges to read at once."""
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[tuple[int, int, str]]]]:
+    """Neighbouring records (offset, length, key) of an archive, as ranges to read at once."""
     file, run = None, []
     for b in batches:
-        for f, offset, length in zip(*(b.column(c).to_pylist() for c in ("file", "offset", "length")), strict=True):
+        for f, offset, length, key in zip(*(b.column(c).to_pylist() for c in ("file", "offset", "length", "key")), strict=True):
             if run and (f != file or offset - run[-1][0] - run[-1][1] > GAP_BYTES or offset + length - run[0][0] > READ_BYTES):
                 yield file, run
                 run = []
             file = f
-            run.append((offset, length))
+            run.append((offset, length, key))
     if run:
         yield file, run
 

@@ -329,13 +329,41 @@ def test_warc_lookup(spark, sf, tmp_path):
     pages = spark.read.parquet(f"{sf[0]}/pages.parquet")
     at = warc.index(warc.write(pages, str(tmp_path)), str(tmp_path), block_lines=4, parts=3)
     urls = spark.createDataFrame([(p[1],) for p in sf[3][:9]] + [("http://nowhere.org/",), (None,)], "url string")
-    found = {(r["url"], r["id"], r["record_type"], bytes(r["payload"])) for r in warc.lookup(spark, at, urls).collect()}
+    found = {(r["url"], r["id"], r["record_type"], bytes(r["payload"] or b"")) for r in warc.lookup(spark, at, urls).collect()}
     want = {(u, i) for u in {p[1] for p in sf[3][:9]} for i, v, _ in sf[3] if warc.surt(u) == warc.surt(v)}
     assert {(u, i) for u, i, *_ in found} == want
     assert all(b == dict((p[0], (p[2] or "").encode()) for p in sf[3])[i] for _, i, k, b in found if k == "response")
     assert warc.surt("https://www.A.b.com:443/X?y#z") == "com,b,a)/x?y"
 
 
+def test_warc_hot_keys_and_payloads(spark, tmp_path):
+    """One URL with many captures over many partitions, keys with tabs and line ends between others, one payload of many pages, and rows equal in everything."""
+    from corpusloom.llm import warc
+
+    rng = random.Random(4)
+    pages = [(i, "http://hot.org/x", f"{i % 90}") for i in range(300)] + [(1000 + i, f"http://a.org/{c}{i % 5}", "one for all") for i, c in enumerate("\t \n\r!x" * 50)]
+    pages += [(1, "http://hot.org/x", "1")] * 40 + [(0, None, "one for all")] * 3 + [(0, "http://z.org", "one for all"), (None, None, "")] * 2
+    rng.shuffle(pages)
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(6)
+    run, warc.RUN = warc.RUN, 7
+    try:
+        at = warc.index(warc.write(df, str(tmp_path)), str(tmp_path), block_lines=5, parts=8)
+    finally:
+        warc.RUN = run
+    assert spark.read.parquet(f"{at.root}/parts.parquet").where("first = 'org,hot)/x'").count() > 1
+    rows = [(r["key"], r["id"], r["payload_bytes"], r["record_type"], r["refers_to"], None if r["payload"] is None else bytes(r["payload"]).decode()) for r in warc.read(spark, at, df).collect()]
+    first = {}
+    for i, u, h in pages:
+        first[h] = min(first.get(h, (True, 0, True, "")), (i is None, i or 0, u is None, u or ""))
+    want, done = [], set()
+    for i, u, h in pages:
+        mine = (i is None, i or 0, u is None, u or "") == first[h] and h not in done
+        done |= {h} if mine else set()
+        to = None if mine or first[h][0] else first[h][1]
+        want.append((warc.key_of(u), i, len(h), "response" if mine else "revisit", to, h if mine else None))
+    assert by_text(rows) == by_text(want)
+
+
 def test_language(spark, sf):
     rows = got(spark, sf, "op6_language_id", "doc_id", "held_out", "lang_pred", "score")
     assert len(rows) == len(sf[1])
