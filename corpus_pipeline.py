@@ -73,8 +73,7 @@ def replace_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(docs)
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", F.transform("draws", lambda d: d["shard"]).alias("shards"))
+    return mixing.digest(mixing.mix(docs))
 
 
 STAGES = [("toxicity", drop_toxic), ("n-gram Jaccard join", keep_one_of_each), ("benchmark decontamination", drop_benchmark_leaks), ("PII", replace_pii), ("mixing sources", mix_sources)]

@@ -10,8 +10,9 @@ document's ends) and the positional bound (anchor position minus its offset fixe
 window's only possible start) leave one start for each, where the hashes of the first
 and the last part of the window are compared, then all words, byte for byte.
 
-The benchmark is the query set: it is read in blocks of at most ``block_words`` words, a
-bound on what is broadcast; beyond one block, each block passes over the documents and
+The benchmark is the query set: its items are cut into pieces that overlap by ``k`` - 1 words, so
+no window is lost, and the pieces are read in blocks of about ``block_words`` words, a
+bound on what is broadcast whatever the length of an item; beyond one block, each block passes over the documents and
 the hits of a document's rows are united by a join. Nothing else moves, so a source or a
 group of copies of any size stays where it was read.
 
@@ -33,8 +34,11 @@ from pyspark.sql import types as T
 
 from corpusloom.llm.bytetext import ALNUM, LOWER, Slice, Words, slices, windows, words
 from corpusloom.llm.learning import map_batches, shipped
+from corpusloom.llm.tables import cut, keyed
 
 ANCHOR_WORDS = 3
+#: Words of a piece of an item.
+PIECE_WORDS = 50_000
 
 
 @dataclass
@@ -149,15 +153,28 @@ def matches(s: Slice, w: Words, blocks: list[Block]) -> list[tuple[int, int, int
     return out
 
 
-def _read_items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("name"), F.col(text_col).cast("string").alias("text")).where("text is not null")
+def _pieces(benchmark: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+    """(name, i, n, words): each item's words in pieces that overlap by k - 1 words, joined by blanks."""
+
+    def run(batches):
+        for b in batches:
+            out = {"name": [], "i": [], "n": [], "words": []}
+            for name, text in zip(b.column("name").to_pylist(), b.column("text").to_pylist(), strict=True):
+                (w,) = item_words(pa.array([text], pa.string()))
+                step = max(1, PIECE_WORDS - k + 1)
+                for i, lo in enumerate(range(0, max(1, len(w) - k + 1), step) if w else ()):
+                    part = w[lo : lo + step + k - 1]
+                    for c, x in zip(out.values(), (name, i, len(part), b" ".join(part)), strict=True):
+                        c.append(x)
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("name", pa.string()), ("i", pa.int32()), ("n", pa.int64()), ("words", pa.binary())]))
+
+    items = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("name"), F.col(text_col).cast("string").alias("text")).where("text is not null")
+    return items.mapInArrow(run, "name string, i int, n long, words binary")
 
 
 def _collect(rows: DataFrame) -> list[Item]:
-    got = rows.select("name", "text").toArrow().combine_chunks()
-    if not got.num_rows:
-        return []
-    return [Item(n, w) for n, w in zip(got.column("name").to_pylist(), item_words(got.column("text").combine_chunks()), strict=True) if w]
+    got = rows.select("name", "words").toArrow()
+    return [Item(n, w.split(b" ")) for n, w in zip(got.column("name").to_pylist(), got.column("words").to_pylist(), strict=True)]
 
 
 def corpus_frequency(docs: DataFrame, wanted: dict[int, np.ndarray]) -> dict[int, dict[int, int]]:
@@ -217,19 +234,19 @@ def _united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def find(docs: DataFrame, benchmark: DataFrame, columns: tuple[str, ...] = ("doc_id",), text: str = "text", item_id: str = "item_id", item_text: str = "text", k: int = 10, block_words: int = 2_000_000) -> DataFrame:
     """``columns`` of every document row with n_words, n_hit (words in hits), hits (flat, disjoint [start, end) word ranges) and items (sorted names)."""
-    items = _read_items(benchmark, item_id, item_text)
-    size = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0  # words are at most half the characters, and one
-    blocks = max(1, -(-size // (2 * block_words)))
+    items = cut(_pieces(benchmark, item_id, item_text, k))
+    size = items.agg(F.sum("n").alias("n")).first()["n"] or 0
+    blocks = max(1, -(-size // block_words))
     docs = docs.select(*columns, F.col(text).cast("string").alias("_text"))
     if blocks == 1:
         return _block_hits(docs, _collect(items), k, list(columns))
-    keyed = docs.withColumn("_row", F.sha2(F.to_json(F.struct(*columns, "_text"), {"ignoreNullFields": "false"}), 256))  # equal rows have equal hits
-    parts = [_block_hits(keyed, _collect(items.where(F.pmod(F.xxhash64("name"), F.lit(blocks)) == i)), k, ["_row"]) for i in range(blocks)]
+    body = docs.withColumn("_row", F.sha2(F.to_json(F.struct(*columns, "_text"), {"ignoreNullFields": "false"}), 256))  # equal rows have equal hits
+    parts = [_block_hits(body, _collect(items.where(F.pmod(F.xxhash64("name", "i"), F.lit(blocks)) == i)), k, ["_row"]) for i in range(blocks)]
     some = parts[0].where("size(items) > 0")
     for p in parts[1:]:
         some = some.unionByName(p.where("size(items) > 0"))
-    found = some.groupBy("_row").agg(F.flatten(F.collect_set("hits")).alias("h"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    base = _block_hits(keyed, [], k, [*columns, "_row"]).drop("n_hit", "hits", "items").join(found, "_row", "left")
+    found = cut(some.groupBy("_row").agg(F.flatten(F.collect_set("hits")).alias("h"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"), F.count(F.lit(1)).alias("_n")))
+    base = keyed(_block_hits(body, [], k, [*columns, "_row"]).drop("n_hit", "hits", "items"), found, "_row", docs.count(), "left")
 
     def unite(b: pa.RecordBatch) -> list[pa.Array]:
         flat = [[x for span in _united(list(zip((h or [])[::2], (h or [])[1::2], strict=True))) for x in span] for h in b.column("h").to_pylist()]

@@ -10,11 +10,13 @@ last document, is taken in part. The tree then halves the set of output shards a
 again: each node hands its left half an exact number of block draws from each source,
 drawn multivariate-hypergeometrically (source by source, by inverse distribution function
 at a keyed uniform). A leaf's draws are the next, hence disjoint, run of its sources'
-permuted blocks, and each shard orders its documents by a keyed hash.
+permuted blocks. Each shard is cut into files by a keyed hash of about ``FILE_ROWS`` draws, and
+``shards`` shuffles every file locally: its draws lie in the order of that hash.
 
-Only (id, source, size) rows move, once, by source and block; the block and source tables
+Only (id, source, size) rows move, by source and block and then by shard and file; the block and source tables
 are small against them (at most ``max_blocks`` rows a source), so a hot source is spread
-over its blocks. One row of the tree holds a number per source.
+over its blocks. The tree holds a number per source in a row, and sources are ranked in one task:
+their number is bounded by memory, some millions.
 
 Defined cases: null text has size 0; a document of size 0 is taken with 0 words; null is
 a source of its own; repeated rows are documents of their own (which of equal rows is cut
@@ -33,6 +35,8 @@ from corpusloom.llm.tables import cut, let
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
+#: Draws in a file of a shard, about.
+FILE_ROWS = 250_000
 
 
 def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -121,13 +125,14 @@ def splitting_tree(quotas: DataFrame, levels: int, seed: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, columns: tuple[str, ...] = ("doc_id",), id_col: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, budget: float = 1.5, most: float = 2.0, levels: int = 3, max_blocks: int = 4096, block_docs: int = 64, seed: int = 11) -> DataFrame:
-    """Every row with ``columns``, size, source, source_size, target, taken and draws (epoch, shard, words, place)."""
+    """Every row with ``columns``, a number _row, size, source, source_size, target, taken and draws (epoch, shard, file, words, place)."""
     names = {c: f"_c{i}" for i, c in enumerate(columns)}
     size = F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
-    sized = cut(docs.select(*(F.col(c).alias(n) for c, n in names.items()), F.xxhash64(F.lit(seed), F.col(id_col)).alias("key"), F.col(source).cast("string").alias("source"), size.alias("size")))
+    sized = cut(docs.select(*(F.col(c).alias(n) for c, n in names.items()), F.xxhash64(F.lit(seed), F.col(id_col)).alias("key"), F.col(source).cast("string").alias("source"), size.alias("size"), F.monotonically_increasing_id().alias("_row")))
     src = targets(sized, weights, budget, most)
     src = src.withColumn("blocks", F.least(F.greatest(F.ceil(F.col("n_docs") / block_docs), F.lit(1)), F.lit(max_blocks)))
     src = cut(src.withColumn("passes", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)).withColumn("rest", F.round(F.col("target") - F.col("passes") * F.col("source_size")).cast("long")))
+    files = max(1, -(-int((src.agg(F.sum("n_docs")).first()[0] or 0) * most) // (FILE_ROWS << levels)))
     placed = sized.join(src.withColumnRenamed("source", "_source"), sized["source"].eqNullSafe(F.col("_source"))).drop("_source").withColumn("block", F.pmod(F.col("key"), F.col("blocks")))
 
     block = placed.groupBy("sid", "block").agg(F.sum("size").alias("words"), F.first("passes").alias("passes"), F.first("rest").alias("rest"))
@@ -145,13 +150,24 @@ def mix(docs: DataFrame, columns: tuple[str, ...] = ("doc_id",), id_col: str = "
     rows = placed.withColumn("before", F.sum("size").over(inside) - F.col("size")).join(drawn, ["sid", "block"], "left")
     words = lambda d: F.greatest(F.least(d["part"] - F.col("before"), F.col("size")), F.lit(0))
     draws = F.transform(F.coalesce("of_block", F.array().cast("array<struct<epoch:bigint,shard:int,part:bigint>>")), lambda d: F.struct(d["epoch"].alias("epoch"), d["shard"].alias("shard"), words(d).alias("words"), F.xxhash64(F.lit(seed), d["shard"], d["epoch"], F.col("key")).alias("place")))
+    draws = F.transform(draws, lambda d: d.withField("file", F.pmod(F.xxhash64(d["place"], F.lit(seed)), F.lit(files)).cast("int")))
     draws = F.filter(draws, lambda d: (d["words"] > 0) | (F.col("size") == 0))
     rows = rows.withColumn("draws", draws).withColumn("taken", F.aggregate("draws", F.lit(0).cast("long"), lambda a, d: a + d["words"]))
-    return rows.select(*(F.col(n).alias(c) for c, n in names.items()), "size", "source_size", "target", "taken", "draws")
+    return rows.select(*(F.col(n).alias(c) for c, n in names.items()), "_row", "size", "source_size", "target", "taken", "draws")
 
 
 def shards(mixed: DataFrame, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """One row for each draw, dealt by shard in the shard's local order; ready for write.partitionBy('shard')."""
-    rows = mixed.select(*columns, F.inline("draws"))
-    spread = F.pmod(F.col("place"), F.lit(64))  # a shard isn't one task
-    return rows.repartition("shard", spread).sortWithinPartitions("shard", "place")
+    """One row for each draw with its rank in its file: dealt by shard and file, in the file's local order; ready for write.partitionBy('shard')."""
+    rows = mixed.select(*columns, "_row", F.inline("draws"))
+    rank = F.row_number().over(W.partitionBy("shard", "file").orderBy("place", "epoch", "_row"))
+    return rows.withColumn("rank", rank)
+
+
+def digest(mixed: DataFrame, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Every row with ``columns``, size, source_size, target, the words that its draws take in the shards, and where these lie (shard, file, rank)."""
+    names = {c: f"_c{i}" for i, c in enumerate(columns)}
+    mixed = cut(mixed.select(*(F.col(c).alias(n) for c, n in names.items()), "_row", "size", "source_size", "target", "draws"))
+    laid = shards(mixed, ()).groupBy("_row").agg(F.sum("words").alias("taken"), F.array_sort(F.collect_list(F.struct("shard", "file", "rank"))).alias("places"))  # at most one draw a pass
+    out = mixed.drop("draws").join(laid, "_row", "left")
+    none = F.array().cast("array<struct<shard:int,file:int,rank:int>>")
+    return out.select(*(F.col(n).alias(c) for c, n in names.items()), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), F.coalesce("places", none).alias("places"))

@@ -58,7 +58,7 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", F.transform("draws", lambda d: d["shard"]).alias("shards"))
+    return mixing.digest(mixing.mix(table(spark, sf_dir, "documents")))
 
 
 @query

@@ -309,6 +309,21 @@ def test_decontamination_in_blocks(spark, sf):
     assert kept.columns == docs.columns and kept.count() == one.where("not contaminated").count()
 
 
+def test_long_items_are_cut_into_pieces(spark, monkeypatch):
+    """An item of any length is dealt over blocks without losing a window; repeated rows get equal hits."""
+    from corpusloom.llm import decontam
+
+    rng = random.Random(5)
+    long, short = words(rng, 300).split(), "a b c"
+    items = [(1, " ".join(long)), (1, words(rng, 12)), (2, short), (3, ""), (None, words(rng, 10))]
+    docs = [(i, " ".join(words(rng, 5).split() + long[i : i + 9 + i % 4] + words(rng, 5).split())) for i in range(0, 288, 3)] + [(500, "x A, b! c y")] * 20 + [(501, None)]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string").repartition(4), spark.createDataFrame(items, "item_id long, text string")
+    want = by_text(brute.decontaminated(docs, [("" if i is None else i, t) for i, t in items]))
+    for pieces, block in ((50_000, 2_000_000), (25, 60)):
+        monkeypatch.setattr(decontam, "PIECE_WORDS", pieces)
+        assert by_text(map(tuple, decontam.digest(decontam.find(df, bench, block_words=block), "doc_id").collect())) == want
+
+
 def test_warc(spark, sf):
     rows = got(spark, sf, "op3_warc_index", "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
     first: dict = {}
@@ -431,6 +446,32 @@ def test_mixing(spark, sf):
     assert by_text(rows) == by_text(got(spark, sf, "op7_mix_sources", "doc_id", "size", "source_size", "target", "taken"))
 
 
+def test_shards_are_shuffled_locally(spark, sf, monkeypatch):
+    """The shards hold every draw once, in files whose local order is a shuffle, whatever the order of the rows; words add up to the sources' quotas."""
+    from corpusloom.llm import mixing
+
+    docs = spark.read.parquet(f"{sf[0]}/documents.parquet")
+    monkeypatch.setattr(mixing, "FILE_ROWS", 10)
+    mixed = mixing.mix(docs, columns=("doc_id", "source"))
+    laid = mixing.shards(mixed, ("doc_id",)).collect()
+    drawn = [(r["_row"], d["epoch"], d["shard"], d["words"]) for r in mixed.collect() for d in r["draws"]]
+    assert sorted(drawn) == sorted((r["_row"], r["epoch"], r["shard"], r["words"]) for r in laid)
+    files: dict = {}
+    for r in laid:
+        files.setdefault((r["shard"], r["file"]), []).append(r)
+    assert len({s for s, _ in files}) == 8 and len(files) > 16
+    for rows in files.values():
+        rows.sort(key=lambda r: r["rank"])
+        assert [r["rank"] for r in rows] == [*range(1, len(rows) + 1)] and [r["place"] for r in rows] == sorted(r["place"] for r in rows)
+    ids = [r["doc_id"] for f in sorted(files) for r in files[f] if r["doc_id"] is not None]
+    assert sum(a < b for a, b in zip(ids, ids[1:], strict=False)) < 0.65 * len(ids)
+    out = {r["doc_id"]: r for r in mixing.digest(mixed).where("doc_id between 1 and 159").collect()}
+    again = {r["doc_id"]: r for r in mixing.digest(mixing.mix(docs.orderBy(F.desc("doc_id")))).where("doc_id between 1 and 159").collect()}
+    place = lambda r: [(p["shard"], p["file"], p["rank"]) for p in r["places"]]
+    assert all(place(out[i]) == place(again[i]) and out[i]["taken"] == again[i]["taken"] for i in out)
+    assert all(len(r["places"]) <= 2 and (r["taken"] > 0) == (len(r["places"]) > 0) for r in out.values())
+
+
 def test_splitting_tree(spark):
     """Quotas come out whole, shards are even, and the draws have the distribution's mean."""
     from corpusloom.llm import mixing
@@ -611,11 +652,27 @@ def test_url_filters(spark):
 
     df = spark.createDataFrame(caps, "page_id long, url string, fetched_at long").withColumn("kind", F.lit("clash"))
     lists = spark.createDataFrame(events, "list string, kind string, value string, action string, at long")
-    for bucket in (7, 1000):
-        rows = [(r["page_id"], r["fetched_at"], r["lists"], r["blocked"]) for r in urlfilter.evaluate(df, lists, bucket=bucket).collect()]
+    for buckets in (1, 7, 1000):
+        rows = [(r["page_id"], r["fetched_at"], r["lists"], r["blocked"]) for r in urlfilter.evaluate(df, lists, buckets=buckets).collect()]
         assert by_text(rows) == by_text((i, t, active(u, t), bool(active(u, t))) for i, u, t in caps)
 
 
+def test_url_filters_with_hot_hosts_and_deep_urls(spark):
+    """A host that most captures share is salted; times of any unit and very long URLs are no burden."""
+    from corpusloom.llm import urlfilter
+
+    deep = "http://" + "a." * 3000 + "hot.org/" + "x/" * 20_000
+    caps = spark.range(3000).select(F.col("id").alias("page_id"), F.when(F.col("id") % 10 < 8, "http://www.hot.org/a/b").when(F.col("id") == 9, deep).otherwise(F.concat(F.lit("http://h"), "id", F.lit(".net/"))).alias("url"), (F.col("id") * 10**9 - 10**12).alias("fetched_at"))
+    entries = [("L", "domain", "hot.org", "add", -(10**12) + 5), ("L", "domain", "hot.org", "remove", 10**11), ("M", "prefix", "www.hot.org/a/", "add", 0), ("N", "host", "h18.net", "add", -(10**13))]
+    out = urlfilter.evaluate(caps, spark.createDataFrame(entries, "list string, kind string, value string, action string, at long")).collect()
+    assert len(out) == 3000
+    for r in out:
+        i, at = r["page_id"], r["fetched_at"]
+        hot = i % 10 < 8
+        want = ["L"] * ((hot or i == 9) and -(10**12) + 5 <= at < 10**11) + ["M"] * (hot and at >= 0) + ["N"] * (i == 18)
+        assert r["lists"] == want, i
+
+
 def test_components(spark):
     from corpusloom.llm.components import components
 
