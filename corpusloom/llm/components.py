@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.tables import cut, keyed
 
+#: Edges that a task takes at least.
+TASK_EDGES = 20_000
+
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
     """(node, root) of every node of the edges; root is the least node of its component.
@@ -17,15 +20,17 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     """
     e = cut(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
     seen, n = None, e.count()
+    few = lambda df: df.coalesce(max(2, -(-n // TASK_EDGES)))  # noqa: E731  small tables need no more tasks; large ones keep theirs
+    e = few(e)
     for _ in range(rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count_if(F.col("v") > F.col("u")).alias("_n"))
         large = keyed(both.where("v > u"), least, "u", n).where("v <> m")
-        large = cut(large.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        large = cut(large.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct().transform(few))
         least = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_n"))
         small = keyed(large, least, "u", n)
         small = small.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("p")).select("p.*")
-        e = cut(small.where("u <> v").distinct())
+        e = cut(small.where("u <> v").distinct().transform(few))
         now = e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.hash("u", "v").cast("long"))).first()
         if now == seen:
             break

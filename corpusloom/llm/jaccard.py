@@ -1,7 +1,8 @@
 """N-gram Jaccard join by T-occurrence search with DivideSkip.
 
 Texts link when their sets of distinct ``k``-word shingles have Jaccard similarity of at
-least ``percent`` / 100. The result is exact up to 64-bit hashes of shingles and sets:
+least ``percent`` / 100. The result is exact up to 64-bit hashes of sets, and of shingles from 256 partitions
+on (below, up to 56 bits and the partition):
 
 1. A pass digests every text to (size, set hash); equal sets are one class from here on.
    It also counts shingles within batches; those in at least 1 of ``HOT`` documents overall
@@ -56,8 +57,6 @@ HOT = 500
 POPULAR = 100_000
 #: Shingles in a shuffle partition of owners, about.
 OWNED = 2_000_000
-#: Owners at least; see ``Owners``.
-LEAST_OWNERS = 256
 #: Shingles that are dealt to owners at once, about; entries that are gathered before repeated ones go.
 DEALT, GATHERED = 1_000_000, 4_000_000
 #: Cost of a probe against that of a step of the merge, for the number of lists that DivideSkip sets aside.
@@ -144,16 +143,18 @@ _LOW = np.uint64((1 << 56) - 1)
 
 
 class Owners:
-    """Shingle hashes by equal ranges to ``n`` owners. There are 256 at least, so seven bytes and the owner are the whole hash."""
+    """Shingle hashes by equal ranges to ``n`` owners. Seven bytes and the owner tell them apart: by 64 bits from 256 owners on, by 56 and the owner's number below."""
 
     def __init__(self, n: int):
-        self.n = max(LEAST_OWNERS, n)
+        self.n = n
 
     def of(self, h: np.ndarray) -> np.ndarray:
         return ((h >> np.uint64(32)) * np.uint64(self.n) >> np.uint64(32)).astype(np.int64)
 
     def whole(self, low: np.ndarray, owner: int) -> np.ndarray:
-        """The hash of an owner's range that ends in these seven bytes."""
+        """The only hash of an owner's range that ends in these seven bytes; with fewer than 256 owners, what stands for all of them."""
+        if self.n < 256:
+            return low | np.uint64(owner << 56)
         least = np.uint64(-(-(owner << 32) // self.n) << 32)
         h = low | (least & ~_LOW)
         return np.where(h < least, h + (_LOW + np.uint64(1)), h)
