@@ -37,4 +37,5 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
         seen = now
     else:
         raise RuntimeError("components didn't settle")
-    return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    out = e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    return out.repartition("node")  # what joins by node meets an even table

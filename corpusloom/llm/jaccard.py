@@ -582,10 +582,10 @@ def _solve(percent: int):
     return run
 
 
-def _links(tasks: DataFrame, survivors: DataFrame, percent: int) -> DataFrame:
-    """Links within tasks: (key, x, y) with the part and the group of each class (fp)."""
+def _links(tasks: DataFrame, survivors: DataFrame, percent: int, n: int) -> DataFrame:
+    """Links within tasks: (key, x, y) with the part and the group of each class (fp); in ``n`` partitions."""
     rows = tasks.join(survivors.select("fp", "n", "tokens"), "fp").select("key", "x", "y", "part", "grouped", "fp", "n", "tokens")
-    return rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(_solve(percent), "a long, b long")
+    return rows.repartition(n, "key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(_solve(percent), "a long, b long")
 
 
 def _mates(part: Column, inner: Column, outer: Column) -> Column:
@@ -610,13 +610,13 @@ def _fragments(groups: DataFrame, total: int, task_work: int) -> DataFrame:
     return rows.select("key", "x", "y", F.when(F.col("x") == F.col("y"), -1).otherwise(F.col("part")).alias("part"), F.col("comp").alias("grouped"), "fp")
 
 
-def _large_blocks(big: DataFrame, lists: DataFrame, survivors: DataFrame, total: int, percent: int, task_work: int) -> DataFrame:
+def _large_blocks(big: DataFrame, lists: DataFrame, survivors: DataFrame, total: int, percent: int, task_work: int, n: int) -> DataFrame:
     """Links within large blocks; ``big`` has block, fp, t and the block's _n and block_t, ``lists`` has token, band and fp of prefixes."""
     chunks = F.ceil(F.col("block_t") * SEEDS / task_work).cast("int")
     seed = F.pmod(F.xxhash64("fp", F.lit(7)), F.col("block_n")) < SEEDS
     chunk = F.when(seed, F.sequence(F.lit(0), chunks - 1)).otherwise(F.array(F.pmod(F.xxhash64("fp"), chunks).cast("int")))
     first = big.select(F.col("block").alias("key"), F.explode(chunk).alias("x"), F.lit(-1).alias("y"), F.when(seed, -1).otherwise(0).alias("part"), F.col("fp").alias("grouped"), "fp")
-    found = cut(_links(first, survivors, percent))
+    found = cut(_links(first, survivors, percent, n))
     comp = components(found).withColumnRenamed("node", "fp").withColumnRenamed("root", "comp")
     big = cut(big.join(comp, "fp", "left").withColumn("comp", F.coalesce("comp", "fp")))
     of_list = lists.join(big, "fp").select("block", F.explode(F.transform(F.array("band", F.col("band") - 1), lambda b: F.xxhash64("token", b))).alias("key"), "fp", "t", "comp").distinct()
@@ -628,7 +628,7 @@ def _large_blocks(big: DataFrame, lists: DataFrame, survivors: DataFrame, total:
     as_lists = keyed(of_list, listwise, "block", total).where("listwise").select("key", "fp", "t", "comp")
     as_blocks = keyed(big.select("block", "fp", "t", "comp"), listwise, "block", total).where("not listwise").select(F.col("block").alias("key"), "fp", "t", "comp")
     groups = cut(as_lists.unionByName(as_blocks))
-    return found.unionByName(_links(_fragments(groups, total, task_work), survivors, percent))
+    return found.unionByName(_links(_fragments(groups, total, task_work), survivors, percent, n))
 
 
 def _candidates(lists: DataFrame, total: int, percent: int) -> DataFrame:
@@ -664,16 +664,17 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int
 
     band = F.floor(F.log("n") / math.log(100 / percent * 1.000001)).cast("int")  # sizes that allow a link lie in one band or in neighbours
     lists = survivors.select(F.explode(F.slice("tokens", F.lit(1), F.col("p"))).alias("token"), band.alias("band"), "fp", "n")
-    count = survivors.agg(F.count(F.lit(1)).alias("classes"), F.coalesce(F.sum("p"), F.lit(0)).alias("entries")).first()
+    count = survivors.agg(F.count(F.lit(1)).alias("classes"), F.coalesce(F.sum("p"), F.lit(0)).alias("entries"), F.coalesce(F.sum(F.size("tokens")), F.lit(0)).alias("tokens")).first()
+    n = max(parts, -(-count["tokens"] // OWNED))
     blocks = components(_candidates(lists, count["entries"], percent))
     member = cut(survivors.select("fp", F.size("tokens").alias("t")).join(blocks.withColumnRenamed("node", "fp").withColumnRenamed("root", "block"), "fp"))
     stats = member.groupBy("block").agg(F.count(F.lit(1)).alias("_n"), F.sum("t").alias("block_t")).withColumn("block_n", F.col("_n"))
     member = keyed(member, stats, "block", count["classes"])
     large = (F.col("block_n") * F.col("block_t") > task_work) & (F.col("block_n") > 2)
     whole = member.where(~large).select(F.col("block").alias("key"), F.lit(0).alias("x"), F.lit(0).alias("y"), F.lit(-1).alias("part"), F.col("fp").alias("grouped"), "fp")
-    links, big = _links(whole, survivors, percent), member.where(large)
+    links, big = _links(whole, survivors, percent, n), member.where(large)
     if not big.isEmpty():
-        links = links.unionByName(_large_blocks(big, lists.select("token", "band", "fp"), survivors, count["entries"], percent, task_work))
+        links = links.unionByName(_large_blocks(big, lists.select("token", "band", "fp"), survivors, count["entries"], percent, task_work, n))
     linked = components(links)
 
     sets = rows.where("n > 0").groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
