@@ -658,9 +658,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int
     homes = max(parts, -(-int(size["n"] or 0) // OWNED))
     owners = Owners(homes)
 
-    dealt = _deal(body.select(F.xxhash64("_id").alias("_rid"), "_text"), k, owners, homes, tokens, popular).repartition(homes, "key").sortWithinPartitions("key")
+    dealt = _deal(body.select(F.xxhash64("_id").alias("_rid"), "_text"), k, owners, homes, tokens, popular).repartitionById(homes, F.col("key") % homes).sortWithinPartitions("key")
     answered = _owned(dealt, owners, homes)
-    survivors = cut(answered.repartition(homes, "key").sortWithinPartitions("key").mapInArrow(_home(shipped(spark, (tokens, ranks)), owners, percent), "fp long, n long, p int, tokens array<bigint>"))
+    survivors = cut(answered.repartitionById(homes, F.col("key") % homes).sortWithinPartitions("key").mapInArrow(_home(shipped(spark, (tokens, ranks)), owners, percent), "fp long, n long, p int, tokens array<bigint>"))
 
     band = F.floor(F.log("n") / math.log(100 / percent * 1.000001)).cast("int")  # sizes that allow a link lie in one band or in neighbours
     lists = survivors.select(F.explode(F.slice("tokens", F.lit(1), F.col("p"))).alias("token"), band.alias("band"), "fp", "n")
