@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -50,7 +50,7 @@ class Store:
             raise ValueError("not a submission of this stage")
         pack_id = str(submission["pack_id"])
         tables.find_pack(self.spark, self.packs, schemas.PACK, pack_id)
-        name = re.sub(r"[^\w.-]", "_", str(submission["submission_id"]))
+        name = X.safe_name(str(submission["submission_id"]))
         tables.write_json(Path(self.submissions) / f"{name}.json", submission)
         states, promoted = self._promoted(pack_id)
         new = promoted
@@ -67,18 +67,35 @@ class Store:
         states = review.replay(items, given)
         return states, review.promoted(items, states, pack_id)
 
-    def inbox(self, bodies: DataFrame, downloaded: dict[str, dict]) -> DataFrame:
-        """Import what issues hold: attachments (fetched by the caller, by address) first, then inline submissions; returns rows with reasons."""
-        found = [downloaded[r["url"]] for r in review.attachments(bodies).orderBy("number", "line_no", "url").collect() if r["url"] in downloaded]
+    def inbox(self, bodies: DataFrame, fetch: Callable[[str], dict]) -> DataFrame:
+        """Import what issues hold: attachments (``fetch`` loads an address) first, then inline submissions.
+
+        Returns a row for each with the reason why it was turned away, null if it was taken; one that
+        can't be loaded or applied is turned away too, and the others go on.
+        """
+        found, reasons = [], []
+        for r in review.attachments(bodies).orderBy("number", "line_no", "url").collect():
+            try:
+                found.append(dict(fetch(r["url"])))
+                reasons.append(None)
+            except (OSError, ValueError, TypeError, KeyError) as e:
+                found.append({})
+                reasons.append(f"not_loaded: {e}")
         found += [json.loads(r["json"]) for r in review.inline_json(bodies).orderBy("number", "line_no", "i").collect()]
-        rows = [(i, s.get("submission_type"), s.get("review_stage"), str(s.get("submission_id") or ""), str(s.get("pack_id"))) for i, s in enumerate(found)]
+        reasons += [None] * (len(found) - len(reasons))
+        schema = "line_no int, submission_type string, review_stage string, submission_id string, pack_id string"
+        rows = [(i, s.get("submission_type"), s.get("review_stage"), str(s.get("submission_id") or ""), str(s.get("pack_id"))) for i, (s, why) in enumerate(zip(found, reasons, strict=True)) if why is None]
         known = self.spark.read.schema("pack_id string").option("multiLine", True).option("recursiveFileLookup", True).json(self.packs)
-        routed = review.route_submissions(self.spark.createDataFrame(rows, "line_no int, submission_type string, review_stage string, submission_id string, pack_id string"), known)
-        done = routed.orderBy("line_no").collect()
-        for r in done:
+        routed = review.route_submissions(self.spark.createDataFrame(rows, schema), known)
+        done = {r["line_no"]: r.asDict() for r in routed.orderBy("line_no").collect()}
+        for i, r in sorted(done.items()):
             if r["reason"] is None:
-                self.apply(found[r["line_no"]])
-        return self.spark.createDataFrame(done, routed.schema)
+                try:
+                    self.apply(found[i])
+                except (OSError, ValueError, TypeError, KeyError) as e:
+                    r["reason"] = f"not_applied: {e}"
+        none = dict.fromkeys(routed.columns)
+        return self.spark.createDataFrame([tuple((done.get(i) or none | {"line_no": i, "reason": why}).values()) for i, why in enumerate(reasons)], routed.schema)
 
 
 def manifest(spark: SparkSession, packs: str) -> dict:

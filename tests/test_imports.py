@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusloom import schemas
@@ -34,7 +35,16 @@ def test_importing_a_pack(spark, tmp_path):
     store.apply(submission("s3", "p2", 3, 1, 1), all_packs=True)
     assert {r["entity_key"] for r in store.decisions().collect()} == {"m", "a", "c", "z"}
     bodies = spark.createDataFrame([(1, 0, json.dumps(submission("s4", "p1", 4, 1, 3))), (1, 1, json.dumps(submission("s4", "p1", 4, 1, 3))), (1, 2, json.dumps(submission("s5", "nope", 4, 1, 3)))], "number int, line_no int, body string")
-    assert [r["reason"] for r in store.inbox(bodies, {}).orderBy("line_no").collect()] == [None, "duplicate_submission_id", "unknown_pack_id"]
+    assert [r["reason"] for r in store.inbox(bodies, lambda url: {}).orderBy("line_no").collect()] == [None, "duplicate_submission_id", "unknown_pack_id"]
+    url = "https://github.com/user-attachments/files/{}/s.json"
+
+    def fetch(address):
+        if "/1/" in address:
+            raise OSError("gone")
+        return submission("s6", "p1", 6, 1, 3) if "/2/" in address else submission("s7", "p1", 7, 1, 1) | {"reviewed_ranges": [{"from_seq": "x"}]}
+
+    found = spark.createDataFrame([(1, 0, " ".join(url.format(k) for k in (1, 2))), (1, 1, json.dumps(submission("s8", "p1", 8, 1, 1)))], "number int, line_no int, body string")
+    assert [(r["submission_id"], r["reason"]) for r in store.inbox(found, fetch).orderBy("line_no").collect()] == [(None, "not_loaded: gone"), ("s6", None), ("s8", None)]
     m = imports.manifest(spark, str(packs))
     assert m["default_stage"] == STAGE and set(m["current_tracks"]) == {"working", "dev"}
     s = m["stages"][STAGE]
@@ -60,6 +70,8 @@ def test_prompt_experiment(spark, tmp_path):
     assert (out["score"]["pass_count"], out["score"]["parse_error_count"], out["fail_item_ids"]) == (1, 1, ["u2", "u3"])
     assert out["usage"]["estimated_cost_usd"] == round(3 * (100 / 1e6 + 20 / 1e6), 10)
     assert json.loads((tmp_path / "run/summary.json").read_text())["effective_config"]["model"] == "m"
+    with pytest.raises(KeyError):
+        experiments.matched(rows.withColumnRenamed("unit_id", "item_id"), rows.limit(1).withColumnRenamed("unit_id", "item_id").select("item_id"))
     assert experiments.job_summary({"item_count": 4}, {"state": "fetched"}, None, prices)["item_count"] == 4
 
 
