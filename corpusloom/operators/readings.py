@@ -30,8 +30,13 @@ def parse_tokens(output: Column) -> Column:
 
 
 def parse_candidates(output: Column) -> Column:
-    """Decoder JSON to ranked candidates."""
-    return F.from_json(output, f"struct<candidates: array<struct<{schemas.CANDIDATE}>>>")["candidates"]
+    """Decoder JSON (its list of ``results``) to ranked candidates; what an entry lacks is empty or 0."""
+    found = F.from_json(output, f"struct<results: array<struct<{schemas.CANDIDATE}>>>")["results"]
+    none = lambda kind: F.array().cast(f"array<{kind}>")
+    segment = lambda x: F.struct(x["surface"].alias("surface"), F.coalesce(x["reading"], F.lit("")).alias("reading"))
+    entry = lambda e: F.struct(e["surface"].alias("surface"), e["reading"].alias("reading"), F.coalesce(e["final_order"], F.lit(0)).alias("final_order"), F.coalesce(e["piece_orders"], none("int")).alias("piece_orders"), F.transform(F.coalesce(e["original_segments"], none(f"struct<{schemas.SEGMENT}>")), segment).alias("original_segments"))
+    each = lambda c: F.struct(c["rank"].alias("rank"), c["score"].alias("score"), F.transform(F.coalesce(c["entries"], none(f"struct<{schemas.ENTRY}>")), entry).alias("entries"))
+    return F.when(output.isNotNull(), F.transform(F.coalesce(found, none(f"struct<{schemas.CANDIDATE}>")), each))
 
 
 def _blank(t: Column) -> Column:

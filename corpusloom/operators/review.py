@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text as X
 from corpusloom.operators.aggregate import first_distinct
+from corpusloom.sources.shared import numbered
 
 CANDIDATE_STAGE = "alphabetic_candidate_review"
 SIDES = ("in_scope", "out_of_scope")
@@ -65,10 +66,10 @@ def candidates(rows: DataFrame, decided: DataFrame | None = None, threshold: int
 
 
 def pack_items(rows: DataFrame) -> DataFrame:
-    """Candidates as numbered items of a pack."""
-    order = W.orderBy(F.desc("supporting_observations"), "proposed_decision", "entity_key")
+    """Candidates as numbered items of a pack: sorted by ranges, numbered by partition."""
     facts = ("threshold_observations", "supporting_observations", "opposing_observations", "supporting_batch_count", "opposing_batch_count", "source_batches", "confidence_counts")
-    return rows.select(F.concat(F.lit("entity:"), "entity_key").alias("item_id"), F.row_number().over(order).alias("seq"), "entity_key", "strict_case", F.col("proposed_decision").alias("proposed_action"), "surface_forms", "example_texts", "note_samples", F.struct(*facts).alias("evidence"))
+    rows = numbered(rows, "seq", F.desc("supporting_observations"), "proposed_decision", "entity_key")
+    return rows.select(F.concat(F.lit("entity:"), "entity_key").alias("item_id"), F.col("seq").cast("int").alias("seq"), "entity_key", "strict_case", F.col("proposed_decision").alias("proposed_action"), "surface_forms", "example_texts", "note_samples", F.struct(*facts).alias("evidence"))
 
 
 def pack_header(items: DataFrame, pack_id: str, stage: str, created_at_epoch: int) -> DataFrame:
@@ -85,16 +86,27 @@ def effective_submission(draft: DataFrame) -> DataFrame:
     return rows.withColumn("reviewed_ranges", ranges).withColumn("overrides", inside).drop("_lo", "_hi")
 
 
+#: A range of places as the few nodes of a binary tree that cover it exactly, and a place as all nodes above it: (level, number).
+_RANGE_NODES = """filter(flatten(transform(sequence(0, 31), k -> transform(array(shiftright(lo + shiftleft(1L, k) - 1, k)), l -> array(
+  if(l < shiftright(hi + 1, k) and l % 2 = 1, struct(k as level, l as node), null),
+  if(l < shiftright(hi + 1, k) and shiftright(hi + 1, k) % 2 = 1, struct(k as level, shiftright(hi + 1, k) - 1 as node), null)))[0])), x -> x is not null)"""
+_PLACE_NODES = "transform(sequence(0, 31), k -> struct(k as level, shiftright(cast(seq as bigint), k) as node))"
+
+
 def replay(items: DataFrame, submissions: DataFrame) -> DataFrame:
     """Effective state of each item: the last submission (epoch, id, path) whose ranges cover it, with its override if it has one.
 
     A covering range first accepts and then applies the submission's overrides again, so the last covering
-    submission alone decides. Accepted items have no note (null).
+    submission alone decides. Accepted items have no note (null). A range meets its items by tree nodes,
+    some tens for each range and item, so no pair of a range and an item is made. Items are numbered from 0 or 1 on; a
+    range without an end covers nothing; empty tables give no states.
     """
     path = F.col("source_path") if "source_path" in submissions.columns else F.lit("")
     sub = submissions.select(F.struct(F.coalesce("generated_at_epoch", F.lit(0)).cast("long").alias("e"), F.coalesce("submission_id", F.lit("")).alias("id"), path.alias("p")).alias("s"), "reviewed_ranges", "overrides")
     ranges = sub.select("s", F.explode("reviewed_ranges").alias("r")).select("s", F.least("r.from_seq", "r.to_seq").alias("lo"), F.greatest("r.from_seq", "r.to_seq").alias("hi"))
-    covered = items.select("item_id", "seq").join(ranges, F.col("seq").between(F.col("lo"), F.col("hi"))).groupBy("item_id").agg(F.max("s").alias("s"))
+    ranges = ranges.where("hi >= 0").select("s", F.greatest(F.col("lo"), F.lit(0)).cast("long").alias("lo"), F.col("hi").cast("long").alias("hi"))
+    last = ranges.select("s", F.inline(F.expr(_RANGE_NODES))).groupBy("level", "node").agg(F.max("s").alias("s"))
+    covered = items.select("item_id", F.inline(F.expr(_PLACE_NODES))).join(last, ["level", "node"]).groupBy("item_id").agg(F.max("s").alias("s"))
     changes = sub.select("s", F.posexplode("overrides").alias("pos", "o")).select("s", "pos", "o.*").groupBy("s", "item_id").agg(F.max_by(F.struct("decision", "note"), "pos").alias("o"))
     out = covered.join(changes, ["s", "item_id"], "left")
     changed = F.col("o").isNotNull()

@@ -9,12 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as X
 from corpusloom.operators import aggregate, ledgers, prompts, readings, responses, review, units
+from corpusloom.plans import jobs
 from corpusloom.sources import tables
+from corpusloom.sources.shared import numbered, once
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -161,8 +162,8 @@ _DECISIONS = "dec as (select entity_key, strict_case, case when occurrence_count
 
 @query(f"with {TYPES_SQL}, {_DECISIONS} select occ.unit_id, occurrence_seq, occ.status as base_list_status, coalesce(dec.status, occ.status) as resolved_status from occ left join dec using (entity_key)")
 def decisions_applied(spark, sf_dir):
-    occ = _occurrences(spark, sf_dir)
-    return units.resolve(occ, _decisions(_types(spark, sf_dir))).select("unit_id", "occurrence_seq", "base_list_status", "resolved_status")
+    occ = once(_occurrences(spark, sf_dir).select("doc_id", "unit_id", "unit_seq", "occurrence_seq", "entity_key", "entity_text", "strict_case", "base_list_status"))
+    return units.resolve(occ, _decisions(aggregate.entity_types(units.resolve(occ)))).select("unit_id", "occurrence_seq", "base_list_status", "resolved_status")
 
 
 @query(f"with {TYPES_SQL} select entity_key, strict_case, status as base_list_status, occurrence_count, unit_count, array_to_string(surface_forms, ' | ') as surface_forms, array_to_string(example_unit_ids, ' | ') as example_unit_ids from types")
@@ -170,12 +171,17 @@ def entity_types(spark, sf_dir):
     return _types(spark, sf_dir).select("entity_key", "strict_case", "base_list_status", "occurrence_count", "unit_count", F.array_join("surface_forms", " | ").alias("surface_forms"), F.array_join("example_unit_ids", " | ").alias("example_unit_ids"))
 
 
+def _with_examples(spark, sf_dir) -> DataFrame:
+    one = once(_units(spark, sf_dir))
+    return aggregate.attach_examples(aggregate.entity_types(units.resolve(units.classify(units.occurrences(one), LISTS))), one)
+
+
 _TEXTS = "ex as (select entity_key, unnest(example_unit_ids) as unit_id, generate_subscripts(example_unit_ids, 1) as i from types), tx as (select entity_key, list(text order by i) as example_texts from ex join units using (unit_id) group by all)"
 
 
 @query(f"with {TYPES_SQL}, {_TEXTS} select entity_key, array_to_string(example_texts, ' || ') as example_texts from tx")
 def entity_examples(spark, sf_dir):
-    return aggregate.attach_examples(_types(spark, sf_dir), _units(spark, sf_dir)).select("entity_key", F.array_join("example_texts", " || ").alias("example_texts"))
+    return _with_examples(spark, sf_dir).select("entity_key", F.array_join("example_texts", " || ").alias("example_texts"))
 
 
 @query(
@@ -188,12 +194,12 @@ select units.unit_id, case when b then true when u then null else false end as v
 from units left join k using (unit_id) left join m on m.unit_id = units.unit_id and m.status = case when b then 'blacklist' when u then 'unknown' else 'whitelist' end"""
 )
 def unit_verdicts(spark, sf_dir):
-    one = _units(spark, sf_dir)
+    one = once(_units(spark, sf_dir))
     rows = aggregate.unit_verdicts(one.select("unit_id"), units.resolve(units.classify(units.occurrences(one), LISTS)))
     return rows.select("unit_id", "verdict.value", "verdict.certain", F.array_join("verdict.signals", ",").alias("signals"), F.array_join("verdict.matches", " | ").alias("matches"))
 
 
-@query(f"with {TYPES_SQL} select entity_key, occurrence_count, unit_count, array_to_string(surface_forms, ' | ') as surface_forms from types where status = 'unknown' and occurrence_count >= 3")
+@query(f"with {TYPES_SQL} select entity_key, occurrence_count, unit_count, array_to_string(surface_forms, ' | ') as surface_forms from types where status = 'unknown'")
 def unresolved_report(spark, sf_dir):
     rows = aggregate.unresolved_report(_types(spark, sf_dir).withColumn("example_texts", F.array().cast("array<string>")))
     return rows.select("entity_key", "occurrence_count", "unit_count", F.array_join("surface_forms", " | ").alias("surface_forms"))
@@ -201,8 +207,7 @@ def unresolved_report(spark, sf_dir):
 
 @query()
 def unresolved_snippets(spark, sf_dir):
-    types = aggregate.attach_examples(_types(spark, sf_dir), _units(spark, sf_dir))
-    return tables.report_lines(aggregate.unresolved_report(types))
+    return tables.report_lines(aggregate.unresolved_report(_with_examples(spark, sf_dir)))
 
 
 @query(
@@ -272,8 +277,8 @@ def review_pack_items(spark, sf_dir):
 
 def _pack(spark, sf_dir) -> DataFrame:
     """A pack of suppliers."""
-    s = table(spark, sf_dir, "supplier")
-    return s.select(F.concat(F.lit("entity:"), F.col("s_suppkey").cast("string")).alias("item_id"), F.row_number().over(W.orderBy("s_suppkey")).alias("seq"), F.col("s_suppkey").cast("string").alias("entity_key"), F.lit(False).alias("strict_case"), F.when(F.col("s_nationkey") % 2 == 0, "whitelist").otherwise("blacklist").alias("proposed_action"))
+    s = numbered(table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"), "seq", "s_suppkey")
+    return s.select(F.concat(F.lit("entity:"), F.col("s_suppkey").cast("string")).alias("item_id"), F.col("seq").cast("int").alias("seq"), F.col("s_suppkey").cast("string").alias("entity_key"), F.lit(False).alias("strict_case"), F.when(F.col("s_nationkey") % 2 == 0, "whitelist").otherwise("blacklist").alias("proposed_action"))
 
 
 def _submissions(spark, sf_dir) -> DataFrame:
@@ -289,7 +294,7 @@ def _submissions(spark, sf_dir) -> DataFrame:
 
 
 _REPLAY = """it as (select 'entity:' || s_suppkey as item_id, row_number() over (order by s_suppkey) as seq, s_suppkey::varchar as entity_key, case when s_nationkey % 2 = 0 then 'whitelist' else 'blacklist' end as act from supplier),
-sb as (select 's' || event_id as sid, floor(epoch(ts))::bigint as ep, user_id % 100 + 1 as x, user_id % 100 + 1 + event_id % 7 - 3 as y, event_id % 3 as m, 'entity:' || (user_id % 100 + 1) as o from events where event_id % 50 = 0),
+sb as (select 's' || event_id as sid, floor(epoch(ts))::bigint as ep, user_id % 100 + 1 as x, user_id % 100 + 1 + event_id % 7 - 3 as y, event_id % 3 as m, 'entity:' || (user_id % 100 + 1) as o from events),
 cv as (select item_id, max((ep, sid)) as k from it join sb on seq between least(x, y) and greatest(x, y) group by all),
 st as (select cv.item_id, case when o = cv.item_id and m = 0 then 'defer' when o = cv.item_id and m = 1 then 'reject' else 'accept' end as status, case when o = cv.item_id and m = 0 then 'later' when o = cv.item_id and m = 1 then 'no' end as note, sid as submission_id, ep as generated_at_epoch from cv join sb on (ep, sid) = k),
 pr as (select entity_key, act as status, 'review:alphabetic_candidate_review' as source, 'pack=p1;submission=' || submission_id as note from it join st using (item_id) where st.status = 'accept')"""
@@ -306,7 +311,7 @@ def promoted_decisions(spark, sf_dir):
     return review.promoted(items, review.replay(items, _submissions(spark, sf_dir)), "p1").drop("strict_case")
 
 
-_OLD = "od as (select c_custkey::varchar as entity_key, c_mktsegment as status, case when c_custkey % 3 = 0 then 'review:old' else 'manual' end as source, '' as note from customer where c_custkey <= 150)"
+_OLD = "od as (select c_custkey::varchar as entity_key, c_mktsegment as status, case when c_custkey % 3 = 0 then 'review:old' else 'manual' end as source, '' as note from customer)"
 
 
 @query(f"with {_REPLAY}, {_OLD} select * from od where source not like 'review:%' and entity_key not in (select entity_key from pr) union all select * from pr")
@@ -332,7 +337,7 @@ def _entries(spark, sf_dir) -> DataFrame:
     return o.select(pack.alias("pack_id"), F.concat(F.lit("Pack "), pack).alias("title"), F.concat(F.lower(F.substring("o_orderpriority", 1, 1)), F.lit("_review_stage")).alias("review_stage"), track.alias("track_name"), F.floor("o_totalprice").cast("long").alias("created_at_epoch"), F.lit(3).alias("item_count"), F.concat(pack, F.lit(".json")).alias("site_filename"))
 
 
-_PACKS = """en as (select 'p' || o_orderkey as pack_id, lower(o_orderpriority[1]) || '_review_stage' as review_stage, coalesce(case when o_orderstatus = 'F' then 'working' when o_orderstatus = 'O' then 'dev' end, 'working') as track_name, floor(o_totalprice)::bigint as ep from orders where o_orderkey % 10 = 0),
+_PACKS = """en as (select 'p' || o_orderkey as pack_id, lower(o_orderpriority[1]) || '_review_stage' as review_stage, coalesce(case when o_orderstatus = 'F' then 'working' when o_orderstatus = 'O' then 'dev' end, 'working') as track_name, floor(o_totalprice)::bigint as ep from orders),
 pk as (select *, (ep, pack_id) = max((ep, pack_id)) over (partition by review_stage, track_name) as is_last, max(case when track_name = 'working' then (ep, pack_id) end) over (partition by review_stage) as wk, max((ep, pack_id)) over (partition by review_stage) as al from en)"""
 
 
@@ -347,7 +352,7 @@ def current_tracks(spark, sf_dir):
 
 
 @query(
-    """with s as (select event_id as line_no, event_type as submission_type, 's' || (user_id % 400) as submission_id, 'p' || (event_id % 5) as pack_id from events where event_id % 4 = 0),
+    """with s as (select event_id as line_no, event_type as submission_type, 's' || (user_id % 400) as submission_id, 'p' || (event_id % 5) as pack_id from events),
 a as (select *, case when submission_type <> 'click' then 'wrong_submission_type' when submission_id = 's0' then 'missing_submission_id' end as r from s),
 b as (select *, row_number() over (partition by submission_id, r is null order by line_no) as k from a)
 select line_no, coalesce(r, case when k > 1 then 'duplicate_submission_id' end, case when pack_id not in ('p1', 'p2', 'p3') then 'unknown_pack_id' end) as reason from b"""
@@ -370,7 +375,7 @@ def _numbered_types(spark, sf_dir) -> DataFrame:
     return _types(spark, sf_dir).withColumn("example_texts", F.slice("example_unit_ids", 1, 2)).withColumn("line_no", F.monotonically_increasing_id() + 1)
 
 
-_PROMPT = r"""pm as (select entity_key as item_id, 'Judge one entity.' || chr(10) || 'Return {"status":"in_scope|out_of_scope"}' || chr(10) || 'Key: ' || entity_key || chr(10) || 'Forms: ' || array_to_string(surface_forms, ' | ') || chr(10) || 'Counts: ' || occurrence_count || '/' || unit_count || chr(10) || 'Examples:' || chr(10) || array_to_string(list_transform(example_unit_ids[1:2], lambda x: '- ' || x), chr(10)) || chr(10) as prompt from types where occurrence_count >= 20)"""
+_PROMPT = r"""pm as (select entity_key as item_id, 'Judge one entity.' || chr(10) || 'Return {"status":"in_scope|out_of_scope"}' || chr(10) || 'Key: ' || entity_key || chr(10) || 'Forms: ' || array_to_string(surface_forms, ' | ') || chr(10) || 'Counts: ' || occurrence_count || '/' || unit_count || chr(10) || 'Examples:' || chr(10) || array_to_string(list_transform(example_unit_ids[1:2], lambda x: '- ' || x), chr(10)) || chr(10) as prompt from types)"""
 
 
 @query(f"with {TYPES_SQL}, {_PROMPT} select * from pm")
@@ -385,10 +390,14 @@ def request_lines(spark, sf_dir):
     return prompts.requests(prompts.items(_numbered_types(spark, sf_dir), TASK), TASK)
 
 
-@query(f"with {TYPES_SQL}, {_PROMPT} select count(*) as item_count, min(length(prompt)) as min_chars, max(length(prompt)) as max_chars, sum(length(prompt))::bigint as sum_chars from pm")
+@query(
+    f"""with {TYPES_SQL}, {_PROMPT}, tk as (select prompt, len(regexp_extract_all(prompt, '[^ \n]+')) as t from pm)
+select count(*) as item_count, min(t)::bigint as min_tokens, max(t)::bigint as max_tokens, sum(t)::bigint as sum_tokens, min(length(prompt)) as min_chars, max(length(prompt)) as max_chars, sum(length(prompt))::bigint as sum_chars from tk"""
+)
 def prompt_sizes(spark, sf_dir):
+    """Tokens here are what blanks and line ends part."""
     items = prompts.items(_numbered_types(spark, sf_dir), TASK)
-    return prompts.size_summary(items, X.token_counts(lambda t: t.split())).select("item_count", "min_chars", "max_chars", "sum_chars")
+    return prompts.size_summary(items, X.token_counts(lambda t: [x for x in t.replace("\n", " ").split(" ") if x]))
 
 
 @query("select event_id, (props::json->>'k')::bigint as k, false as failed from events union all select -conv_id * 1000 - turn, null, true from conversations")
@@ -481,6 +490,113 @@ _reading("agreement_prefer_sudachi_v1", "s", "item_id % 7 <> 0 and s = d")
 _reading("aligned_hybrid_v1", "s", "item_id % 7 <> 0")
 
 
+_COMPOUND = """hw as (select item_id, regexp_extract_all(text, '[a-z]+') as w from benchmark),
+hx as (select item_id, w[i] as x, i from hw, unnest(range(1, len(w) + 1)) as r(i)),
+hr as (select item_id, string_agg(case (i - 1) % 5 when 0 then x || '/r' || x when 1 then x || '/r' || x || ' ' || x || '/r' || x when 2 then x || '/s' || x || ' q/sq' when 3 then '方/カタ' else x || 'yz/k' end, ' ' order by i) as r from hx group by item_id)"""
+
+
+@query(f"with {_COMPOUND} select hw.item_id, coalesce(r, '') as rendered, len(w) < 5 as certain, case when len(w) = 0 then 1 else 2 + least(len(w), 5) end as n_signals from hw left join hr using (item_id)")
+def reading_hybrid_rules(spark, sf_dir):
+    """Words of benchmark texts in turn as an equal token, a compound that entries refine, tokens under an entry's original segments, a surface that votes override, and a compound that falls back."""
+    rows = units.spread(table(spark, sf_dir, "benchmark"))
+    w = F.regexp_extract_all("text", F.lit("[a-z]+"), F.lit(0))
+    lit, cat = F.lit, F.concat
+    segment = "array<struct<surface:string,reading:string>>"
+    token = lambda x, r, pos="名詞,": F.struct(x.alias("surface"), lit(pos).alias("pos"), x.alias("dictionary_form"), x.alias("normalized_form"), r.alias("reading"))
+    entry = lambda x, r, *own: F.struct(x.alias("surface"), r.alias("reading"), lit(0).alias("final_order"), F.array().cast("array<int>").alias("piece_orders"), F.array(*(F.struct(a.alias("surface"), b.alias("reading")) for a, b in own)).cast(segment).alias("original_segments"))
+    r, yz = (lambda x: cat(lit("r"), x)), (lambda x: cat(x, lit("yz")))
+    q, turn = lit("q"), lambda i, *each: F.when(i % 5 == 0, each[0]).when(i % 5 == 1, each[1]).when(i % 5 == 2, each[2]).when(i % 5 == 3, each[3]).otherwise(each[4])
+    blank = token(lit(" "), lit(""), "空白,")
+    tokens = lambda x, i: F.concat(turn(i, F.array(token(x, r(x))), F.array(token(cat(x, x), cat(r(x), r(x)))), F.array(token(x, r(x)), token(q, lit("rq"))), F.array(token(lit("方"), lit("ホウ"))), F.array(token(yz(x), lit("k")))), F.array(blank))
+    found = lambda other: lambda x, i: turn(i, F.array(entry(x, r(x))), F.array(entry(x, r(x)), entry(x, r(x))), F.array(entry(cat(x, q), lit("m"), (x, cat(lit("s"), x)), (q, lit("sq")))), F.array(entry(lit("方"), lit(other))), F.array(entry(x, lit("a")), entry(lit("yz"), lit("b"))))
+    text = lambda x, i: cat(turn(i, x, cat(x, x), cat(x, q), lit("方"), yz(x)), lit(" "))
+    ranked = F.array(*(F.struct(lit(k).alias("rank"), lit(0.5).alias("score"), F.flatten(F.transform(w, found(o))).alias("entries")) for k, o in enumerate(("カタ", "ホウ", "カタ"), 1)))
+    rows = rows.select("item_id", F.array_join(F.transform(w, text), "").alias("text"), F.flatten(F.transform(w, tokens)).alias("tokens"), ranked.alias("candidates"))
+    return readings.apply(rows, "aligned_hybrid_v1").select("item_id", "reading.rendered", "reading.certain", F.size("reading.signals").alias("n_signals"))
+
+
+@query(f"with {_READ} select item_id, case when item_id < 10 then case when item_id % 7 = 0 then s else d end end as rendered from rd")
+def reading_limited(spark, sf_dir):
+    rows = _read_rows(spark, sf_dir).withColumn("line_no", F.col("item_id"))
+    return readings.limited(rows, "decoder_only_v1", rows.where("item_id < 10").count()).select("item_id", "reading.rendered")
+
+
+@query(f"with {_READ} select count(*) as item_count, count(*) filter (item_id % 3 > 0) as comparable_count, count(*) filter (item_id % 3 > 0 and case when item_id % 7 = 0 then s else d end = s) as exact_match_count, round(avg(case when item_id % 3 > 0 then (case when item_id % 7 = 0 then s else d end = s)::int end), 9) as accuracy from rd")
+def reading_experiment(spark, sf_dir):
+    rows = _read_rows(spark, sf_dir)
+    wanted = F.when(F.col("item_id") % 3 > 0, readings.render_tokens(F.col("tokens")))
+    s = readings.experiment_summary(readings.apply(rows, "decoder_only_v1").select(wanted.alias("expected_rendered"), "reading.rendered"))
+    return s.select("item_count", "comparable_count", "exact_match_count", F.round("exact_match_accuracy", 9).alias("accuracy"))
+
+
+@query("""with w as (select item_id, regexp_extract_all(text, '[^ \n\t]+') as w from benchmark), x as (select item_id, unnest(w) as s, generate_subscripts(w, 1) as i from w)
+select item_id, (row_number() over (partition by item_id order by i))::int as pos, s as surface, 'k' || s as reading from x where i % 4 <> 0 and s <> 'EOS'""")
+def tokens_parsed(spark, sf_dir):
+    """Analyser lines made of benchmark words; every fourth is too short to count."""
+    rows = units.spread(table(spark, sf_dir, "benchmark"))
+    w = F.regexp_extract_all("text", F.lit("[^ \\n\\t]+"), F.lit(0))
+    line = F.transform(w, lambda x, i: F.when(i % 4 == 3, F.concat_ws("\t", x, F.lit("short"))).otherwise(F.concat_ws("\t", x, F.lit("名詞,"), x, x, F.concat(F.lit("k"), x))))
+    rows = rows.select("item_id", F.posexplode(readings.parse_tokens(F.concat(F.array_join(line, "\n"), F.lit("\nEOS\n")))).alias("i", "t"))
+    return rows.select("item_id", (F.col("i") + 1).alias("pos"), "t.surface", "t.reading")
+
+
+@query("select item_id, length(text)::int as rank, 0 as final_order, len(string_split(text, ' '))::int as entries, string_split(text, ' ')[1] as surface, '' as segment_reading from benchmark")
+def candidates_parsed(spark, sf_dir):
+    rows = table(spark, sf_dir, "benchmark")
+    w = F.split("text", " ")
+    entry = lambda x: F.struct(x.alias("surface"), x.alias("reading"), F.array(F.struct(x.alias("surface"))).alias("original_segments"))
+    said = F.to_json(F.struct(F.array(F.struct(F.length("text").alias("rank"), F.lit(0.5).alias("score"), F.transform(w, entry).alias("entries"))).alias("results")))
+    c = rows.select("item_id", readings.parse_candidates(said)[0].alias("c"))
+    e = F.col("c.entries")[0]
+    return c.select("item_id", "c.rank", e["final_order"].alias("final_order"), F.size("c.entries").alias("entries"), e["surface"].alias("surface"), e["original_segments"][0]["reading"].alias("segment_reading"))
+
+
+def _answers(spark, sf_dir) -> DataFrame:
+    """Result lines of conversations: the text at each of the places where a response may have it, or nowhere."""
+    c = table(spark, sf_dir, "conversations")
+    block = F.struct(F.lit("message").alias("type"), F.array(F.struct(F.lit("").alias("text")), F.struct(F.concat(F.lit('{"status": "in_scope", "note": "'), F.length("text").cast("string"), F.lit('"}')).alias("text"))).alias("content"))
+    other = F.struct(F.lit("reasoning").alias("type"), F.array(F.struct(F.lit("no").alias("text"))).alias("content"))
+    said = F.concat(F.lit("```json\n{\"status\": \""), "role", F.lit("\"}\n```"))
+    usage = F.to_json(F.struct(F.length("text").alias("input_tokens"), F.col("turn").alias("output_tokens")))
+    k = F.pmod(F.col("conv_id") + F.col("turn"), F.lit(4))
+    body = F.struct(F.when(k == 1, said).alias("output_text"), F.when(k == 2, F.array(block, other)).alias("output"), F.when(F.col("turn") > 0, usage).alias("usage"))
+    response = F.struct(F.when(k == 0, "not json").when(k == 1, "").alias("output_text"), body.alias("body"), F.lit(None).cast("array<struct<type:string,content:array<struct<text:string>>>>").alias("output"), F.lit(None).cast("string").alias("usage"))
+    return c.select(F.concat_ws("-", "conv_id", "turn").alias("custom_id"), response.alias("response"))
+
+
+@query(
+    """select conv_id || '-' || turn as item_id, case (conv_id + turn) % 4 when 0 then 'not json' when 1 then '```json' || chr(10) || '{"status": "' || role || '"}' || chr(10) || '```' when 2 then '{"status": "in_scope", "note": "' || length(text) || '"}' else '' end as raw_text,
+case (conv_id + turn) % 4 when 1 then role when 2 then 'in_scope' end as status, case when (conv_id + turn) % 4 = 2 then length(text)::varchar end as note, (conv_id + turn) % 4 = 0 as failed, case when turn > 0 then length(text)::bigint + turn end as total_tokens, case when conv_id % 2 = 0 then role end as role from conversations"""
+)
+def batch_results(spark, sf_dir):
+    """Results of a batch as a fetch writes them; items of every second conversation are known."""
+    items = table(spark, sf_dir, "conversations").where("conv_id % 2 = 0").select(F.concat_ws("-", "conv_id", "turn").alias("item_id"), F.struct("role").alias("metadata"))
+    rows = jobs.parsed_results(_answers(spark, sf_dir), items)
+    return rows.select("item_id", "raw_text", "parsed.status", "parsed.note", F.col("parse_error").isNotNull().alias("failed"), "usage.total_tokens", F.col("metadata.role").alias("role"))
+
+
+@query(
+    """with e as (select event_id, user_id % 9 as n, user_id % 13 - 2 as a, event_id % 17 - 3 as b from events),
+c as (select *, least(greatest(a, 1), n) as x, least(greatest(b, 1), n) as y from e),
+d as (select *, least(greatest(1, least(x, y)), 99) as lo, greatest(x, y) as hi from c)
+select event_id, case when n > 0 then least(greatest(1, least(a, n)), greatest(1, least(b, n)))::int end as lo, case when n > 0 then greatest(greatest(1, least(a, n)), greatest(1, least(b, n)))::int end as hi,
+ (case when n > 0 and event_id % 5 between least(greatest(1, least(a, n)), greatest(1, least(b, n))) and greatest(greatest(1, least(a, n)), greatest(1, least(b, n))) then 1 else 0 end)::int as overrides from d"""
+)
+def effective_drafts(spark, sf_dir):
+    """What a review page submits for drafts made of events: ends and overrides that go astray, packs without items."""
+    over = lambda seq, d: F.struct(F.concat(F.lit("i"), seq.cast("string")).alias("item_id"), seq.cast("int").alias("seq"), F.lit(d).alias("decision"))
+    draft = table(spark, sf_dir, "events").select("event_id", F.pmod("user_id", F.lit(9)).cast("int").alias("item_count"), (F.pmod("user_id", F.lit(13)) - 2).cast("int").alias("from_seq"), (F.pmod("event_id", F.lit(17)) - 3).cast("int").alias("to_seq"), F.array(over(F.pmod("event_id", F.lit(5)), "reject"), over(F.lit(1), "accept")).alias("overrides"))
+    rows = review.effective_submission(draft)
+    r = F.get("reviewed_ranges", F.lit(0))
+    return rows.select("event_id", r["from_seq"].alias("lo"), r["to_seq"].alias("hi"), F.size("overrides").alias("overrides"))
+
+
+@query(f"with {_CANDIDATES} select entity_key, proposed_decision from cand where entity_key not in (select source || '/' || lang from documents where lang = 'en' and source is not null)")
+def undecided_candidates(spark, sf_dir):
+    decided = table(spark, sf_dir, "documents").where("lang = 'en' and source is not null").select(F.concat_ws("/", "source", "lang").alias("entity_key")).distinct()
+    return review.candidates(_judgments(spark, sf_dir), decided).select("entity_key", "proposed_decision")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents to the most frequent entity types."""
     return _types(spark, sf_dir).select("entity_key", "strict_case", "occurrence_count", "unit_count", "surface_forms").orderBy(F.desc("occurrence_count"), F.desc("unit_count"), "entity_key")

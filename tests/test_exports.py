@@ -6,7 +6,7 @@ from corpusloom.operators import readings
 from corpusloom.plans import exports
 from corpusloom.sources import annotators
 
-DECODED = {"candidates": [{"rank": 1, "score": -1.5, "entries": [{"surface": "東京", "reading": "トウキョウ", "final_order": 1}, {"surface": "へ", "reading": "エ"}]}]}
+DECODED = {"results": [{"rank": 1, "score": -1.5, "entries": [{"surface": "東京", "reading": "トウキョウ", "final_order": 1}, {"surface": "へ", "reading": "エ"}]}]}
 
 
 def test_annotate_and_export(spark, tmp_path):

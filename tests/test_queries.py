@@ -95,7 +95,8 @@ def test_rare_types_get_prompts_and_reports(spark, sf):
     assert prompts.keys() == types.keys() and all(f"Counts: {r['occurrence_count']}/{r['unit_count']}\n" in prompts[k] for k, r in types.items())
     assert sorted(json.loads(v)["custom_id"] for v, in got(spark, sf, "request_lines")) == sorted(types)
     sizes = [len(p) for p in prompts.values()]
-    assert got(spark, sf, "prompt_sizes") == [(len(sizes), min(sizes), max(sizes), sum(sizes))]
+    tokens = [len(p.split()) for p in prompts.values()]
+    assert got(spark, sf, "prompt_sizes") == [(len(sizes), min(tokens), max(tokens), sum(tokens), min(sizes), max(sizes), sum(sizes))]
     unknown = sorted(k for k, r in types.items() if r["base_list_status"] == "unknown")
     assert [r[0] for r in got(spark, sf, "unresolved_report")] == unknown
     assert sorted(r[0].split("\t")[0] for r in got(spark, sf, "unresolved_snippets")) == unknown
