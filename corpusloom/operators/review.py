@@ -87,10 +87,10 @@ def effective_submission(draft: DataFrame) -> DataFrame:
 
 
 #: A range of places as the few nodes of a binary tree that cover it exactly, and a place as all nodes above it: (level, number).
-_RANGE_NODES = """filter(flatten(transform(sequence(0, 31), k -> transform(array(shiftright(lo + shiftleft(1L, k) - 1, k)), l -> array(
+_RANGE_NODES = """filter(flatten(transform(sequence(0, {levels}), k -> transform(array(shiftright(lo + shiftleft(1L, k) - 1, k)), l -> array(
   if(l < shiftright(hi + 1, k) and l % 2 = 1, struct(k as level, l as node), null),
   if(l < shiftright(hi + 1, k) and shiftright(hi + 1, k) % 2 = 1, struct(k as level, shiftright(hi + 1, k) - 1 as node), null)))[0])), x -> x is not null)"""
-_PLACE_NODES = "transform(sequence(0, 31), k -> struct(k as level, shiftright(cast(seq as bigint), k) as node))"
+_PLACE_NODES = "transform(sequence(0, {levels}), k -> struct(k as level, shiftright(cast(seq as bigint), k) as node))"
 
 
 def replay(items: DataFrame, submissions: DataFrame) -> DataFrame:
@@ -104,9 +104,11 @@ def replay(items: DataFrame, submissions: DataFrame) -> DataFrame:
     path = F.col("source_path") if "source_path" in submissions.columns else F.lit("")
     sub = submissions.select(F.struct(F.coalesce("generated_at_epoch", F.lit(0)).cast("long").alias("e"), F.coalesce("submission_id", F.lit("")).alias("id"), path.alias("p")).alias("s"), "reviewed_ranges", "overrides")
     ranges = sub.select("s", F.explode("reviewed_ranges").alias("r")).select("s", F.least("r.from_seq", "r.to_seq").alias("lo"), F.greatest("r.from_seq", "r.to_seq").alias("hi"))
-    ranges = ranges.where("hi >= 0").select("s", F.greatest(F.col("lo"), F.lit(0)).cast("long").alias("lo"), F.col("hi").cast("long").alias("hi"))
-    last = ranges.select("s", F.inline(F.expr(_RANGE_NODES))).groupBy("level", "node").agg(F.max("s").alias("s"))
-    covered = items.select("item_id", F.inline(F.expr(_PLACE_NODES))).join(last, ["level", "node"]).groupBy("item_id").agg(F.max("s").alias("s"))
+    top = items.agg(F.max("seq")).first()[0] or 0
+    levels = int(top + 1).bit_length()
+    ranges = ranges.where((F.col("hi") >= 0) & (F.col("lo") <= top)).select("s", F.greatest(F.col("lo"), F.lit(0)).cast("long").alias("lo"), F.least(F.col("hi"), F.lit(top)).cast("long").alias("hi"))
+    last = ranges.select("s", F.inline(F.expr(_RANGE_NODES.format(levels=levels)))).groupBy("level", "node").agg(F.max("s").alias("s"))
+    covered = items.select("item_id", F.inline(F.expr(_PLACE_NODES.format(levels=levels)))).join(last, ["level", "node"]).groupBy("item_id").agg(F.max("s").alias("s"))
     changes = sub.select("s", F.posexplode("overrides").alias("pos", "o")).select("s", "pos", "o.*").groupBy("s", "item_id").agg(F.max_by(F.struct("decision", "note"), "pos").alias("o"))
     out = covered.join(changes, ["s", "item_id"], "left")
     changed = F.col("o").isNotNull()
