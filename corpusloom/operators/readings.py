@@ -105,7 +105,10 @@ def placed(text: str, surfaces: list[str]) -> list[tuple[int, int]]:
 
 
 def hybrid(text: str, tokens: list[dict], candidates: list[dict]) -> dict:
-    """Left to right: blank, exact span, compound refined by entries, run covered by an entry's original segments, fallback."""
+    """Left to right: blank, exact span, compound refined by entries, run covered by an entry's original segments, fallback.
+
+    Surfaces that the text doesn't have are an error. Without text, tokens or entries there is nothing to render.
+    """
     signals = ["strategy:aligned_hybrid_v1"]
     is_blank = lambda t: t["surface"].isspace() or t["pos"].startswith(BLANK_POS)
     own = lambda t: (t["surface"], t["surface"] if t["pos"].startswith(MARK_POS) else t["reading"] or t["surface"])
@@ -113,7 +116,7 @@ def hybrid(text: str, tokens: list[dict], candidates: list[dict]) -> dict:
         pairs = [own(t) for t in tokens if not is_blank(t)]
         return {"rendered": " ".join("/".join(p) for p in pairs), "certain": False, "signals": [*signals, "decoder_no_candidates", "fallback_sudachi"]}
     spans = placed(text, [t["surface"] for t in tokens])
-    ranked = [list(zip(placed(text, [e["surface"] for e in c["entries"]]), c["entries"], strict=True)) for c in candidates]
+    ranked = [list(zip(placed(text, [e["surface"] for e in c["entries"] or []]), c["entries"] or [], strict=True)) for c in candidates]
     exact = {span: e for span, e in ranked[0]}
     by_start = {}
     for (lo, hi), e in ranked[0]:
@@ -187,7 +190,7 @@ def _plain(x):
 
 @F.pandas_udf(T.StructType([T.StructField("rendered", T.StringType()), T.StructField("certain", T.BooleanType()), T.StructField("signals", T.ArrayType(T.StringType()))]))
 def hybrid_udf(text: pd.Series, tokens: pd.Series, candidates: pd.Series) -> pd.DataFrame:
-    rows = [hybrid(t, _plain(s) or [], _plain(c) if c is not None else []) for t, s, c in zip(text, tokens, candidates, strict=True)]
+    rows = [hybrid(t or "", _plain(s) or [], _plain(c) if c is not None else []) for t, s, c in zip(text, tokens, candidates, strict=True)]
     return pd.DataFrame(rows, columns=["rendered", "certain", "signals"])
 
 

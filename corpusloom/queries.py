@@ -546,9 +546,9 @@ def candidates_parsed(spark, sf_dir):
     w = F.split("text", " ")
     entry = lambda x: F.struct(x.alias("surface"), x.alias("reading"), F.array(F.struct(x.alias("surface"))).alias("original_segments"))
     said = F.to_json(F.struct(F.array(F.struct(F.length("text").alias("rank"), F.lit(0.5).alias("score"), F.transform(w, entry).alias("entries"))).alias("results")))
-    c = rows.select("item_id", readings.parse_candidates(said)[0].alias("c"))
-    e = F.col("c.entries")[0]
-    return c.select("item_id", "c.rank", e["final_order"].alias("final_order"), F.size("c.entries").alias("entries"), e["surface"].alias("surface"), e["original_segments"][0]["reading"].alias("segment_reading"))
+    c = rows.select("item_id", F.get(readings.parse_candidates(said), 0).alias("c"))
+    e = F.get("c.entries", F.lit(0))
+    return c.select("item_id", "c.rank", e["final_order"].alias("final_order"), F.size("c.entries").alias("entries"), e["surface"].alias("surface"), F.get(e["original_segments"], 0)["reading"].alias("segment_reading"))
 
 
 def _answers(spark, sf_dir) -> DataFrame:
