@@ -693,6 +693,22 @@ def test_components(spark):
     assert out == {(i, find(i)) for a, b in edges if a != b for i in (a, b)}
 
 
+def test_components_of_small_tables_cost_the_driver_few_jobs(spark):
+    from corpusloom.llm.components import components
+
+    rng = random.Random(4)
+    edges = [(rng.randrange(-400, 400), rng.randrange(-400, 400)) for _ in range(300)] + [(k, k + 1) for k in range(1000, 1060)] + [(7, 7)]
+    frame = spark.createDataFrame(edges, "a long, b long")
+    spark.sparkContext.setJobGroup("components", "")
+    got = {tuple(r) for r in components(frame).collect()}
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("components"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got == {tuple(r) for r in components(frame, alone=0).collect()} and jobs <= 12
+    assert components(frame.where("a = b")).count() == 0
+    names = components(spark.createDataFrame([("b", "a"), ("c", "b")], "a string, b string"))
+    assert {tuple(r) for r in names.collect()} == {("a", "a"), ("b", "a"), ("c", "a")}
+
+
 def test_pipeline(spark, sf):
     import corpus_pipeline as P
     from corpusloom.llm.queries import PII_TEST_KEY
