@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import decontam, jaccard, mixing, pii, toxicity
 from corpusloom.llm.queries import pii_key
-from corpusloom.llm.tables import aside, shared_dir
+from corpusloom.llm.tables import aside, cut, shared_dir
 
 #: A document with at least this toxicity goes.
 TOXIC = 0.7
@@ -38,8 +38,9 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     doc, text = names[docs.columns.index("doc_id")], names[docs.columns.index("text")]
     keyed = inner.withColumn("_key", F.struct(F.col(doc).isNull().alias("none"), F.col(doc).alias("doc"), F.xxhash64(F.col(text).cast("string")).alias("hash")))
     found = jaccard.classes(keyed, id_col="_key", text=text).where("n_shingles > 0")
-    gone = found.where("id <> component_id").select(F.col("id").alias("_key")).distinct()
-    again = found.where("id = component_id").groupBy("id").count().where("count > 1").select(F.col("id").alias("_key"))
+    marks = found.groupBy(F.col("id").alias("_key")).agg(F.bool_or(F.col("id") != F.col("component_id")).alias("gone"), F.count(F.lit(1)).alias("rows"))
+    marks = cut(marks.where("gone or rows > 1"))  # read up to four times below: the driver would plan the join as often
+    gone, again = marks.where("gone").select("_key"), marks.where("not gone").select("_key")
     kept = _without(keyed, gone)
     if again.isEmpty():
         return back(kept)

@@ -669,7 +669,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int
     blocks = components(_candidates(lists, count["entries"], percent))
     member = cut(survivors.select("fp", F.size("tokens").alias("t")).join(blocks.withColumnRenamed("node", "fp").withColumnRenamed("root", "block"), "fp"))
     stats = member.groupBy("block").agg(F.count(F.lit(1)).alias("_n"), F.sum("t").alias("block_t")).withColumn("block_n", F.col("_n"))
-    member = keyed(member, stats, "block", count["classes"])
+    member = cut(keyed(member, stats, "block", count["classes"]))
     large = (F.col("block_n") * F.col("block_t") > task_work) & (F.col("block_n") > 2)
     whole = member.where(~large).select(F.col("block").alias("key"), F.lit(0).alias("x"), F.lit(0).alias("y"), F.lit(-1).alias("part"), F.col("fp").alias("grouped"), "fp")
     links, big = _links(whole, survivors, percent, n), member.where(large)
@@ -680,6 +680,6 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int
     sets = rows.where("n > 0").groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
     roots = cut(sets.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")))
     least = roots.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("_n"))
-    named = keyed(roots.select("fp", "root", "copies"), least, "root", size["docs"]).select("fp", "component_id", F.col("copies").alias("_n"))
+    named = cut(keyed(roots.select("fp", "root", "copies"), least, "root", size["docs"]).select("fp", "component_id", F.col("copies").alias("_n")))
     out = keyed(rows.where("n > 0"), named, "fp", size["docs"]).unionByName(rows.where("n = 0").withColumn("component_id", F.lit(None).cast(docs.schema[id_col].dataType)))
     return out.select("id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))

@@ -758,3 +758,16 @@ def test_copies_go_by_row(spark):
     near = [x for x in kept if x[0] == 3]
     assert len(near) == 1 and near[0] in rows
     assert by_text(x for x in kept if x[0] != 3) == by_text([(1, a), (2, b), (None, c), (None, d), (4, ""), (4, ""), (None, None), (5, "")])
+
+
+def test_copies_stage_plans_the_join_once(spark):
+    """With repeated rows the marks are read four times; the driver must not plan the whole join for each."""
+    import corpus_pipeline as P
+
+    rng = random.Random(4)
+    a, b = words(rng, 60), words(rng, 60)
+    df = spark.createDataFrame([(1, a), (2, a), (3, b), (3, b)], "doc_id long, text string")
+    out = P.keep_one_of_each(spark, df, "")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") <= 12
+    assert sorted(r["doc_id"] for r in out.collect()) == [1, 3]
